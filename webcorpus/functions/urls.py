@@ -40,11 +40,16 @@ def split_url(url: Column) -> Column:
     ))
 
 
+def _one_of(scheme: Column, schemes: list[str]) -> Column:
+    names = "|".join(name.replace("+", r"\+") for name in schemes)
+    return scheme.rlike(rf"^(?:{names})\z")
+
+
 def _join(scheme: Column, netloc: Column, path: Column, query: Column, fragment: Column) -> Column:
     rooted = F.when((netloc != "") & (path != "") & ~path.startswith("/"),
                     F.concat(F.lit("/"), path)).otherwise(path)
     bare_authority = path.startswith("//") | (
-        scheme.isin(AUTHORITY_SCHEMES) & ((path == "") | path.startswith("/")))
+        _one_of(scheme, AUTHORITY_SCHEMES) & ((path == "") | path.startswith("/")))
     return F.concat(
         F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""),
         F.when(netloc != "", F.concat(F.lit("//"), netloc))
@@ -138,7 +143,7 @@ def _walk_dots(path: Column, relative: Column) -> Column:
 
 def _resolve_parts(base: Column, href: Column, b: Column, h: Column) -> Column:
     scheme = F.when(h["scheme"] == "", b["scheme"]).otherwise(h["scheme"])
-    foreign = (scheme != b["scheme"]) | ~scheme.isin(RELATIVE_SCHEMES)
+    foreign = (scheme != b["scheme"]) | ~_one_of(scheme, RELATIVE_SCHEMES)
 
     # Parameters of the last segment take no part in the walk; an empty list of them is dropped.
     params = F.regexp_extract(h["path"], r";([^/]*)\z", 1)

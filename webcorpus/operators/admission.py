@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from webcorpus.functions import addresses, urls
 from webcorpus.functions.text import once, strip
+from webcorpus.operators.joins import lookup
 from webcorpus.settings import WEB_SCHEMES
 
 
@@ -23,12 +24,8 @@ def filter_domain_suffix(df: DataFrame, domain: str, url: str = "url") -> DataFr
 
 
 def host_semi_join(df: DataFrame, hosts: DataFrame, host: str = "host") -> DataFrame:
-    """Rows whose host is in the one-column table `hosts`.
-
-    No broadcast hint: the table may grow with the crawl. Catalyst broadcasts it while it is
-    small, and adaptive execution splits a hot host's rows over tasks when it is not.
-    """
-    return df.join(hosts.select(host), host, "left_semi").select(df.columns)
+    """Rows whose host is in the table `hosts`, which may grow with the crawl."""
+    return lookup(df, hosts.select(host).distinct(), host, "left_semi").select(df.columns)
 
 
 def filter_hosts(df: DataFrame, allowed: Sequence[str] | DataFrame, url: str = "url") -> DataFrame:
@@ -47,7 +44,7 @@ def first_addresses(lookups: DataFrame) -> DataFrame:
 def resolve_hosts(df: DataFrame, lookups: DataFrame) -> DataFrame:
     """Add `ip`: the host's first address; an address literal is its own; NULL is unresolved."""
     literal = addresses.is_ipv4(F.col("host")) | F.col("host").contains(":")
-    return (df.join(first_addresses(lookups), "host", "left")
+    return (lookup(df, first_addresses(lookups), "host")
             .withColumn("ip", F.when(literal, F.col("host")).otherwise(F.col("ip"))))
 
 
@@ -70,7 +67,7 @@ def admission(df: DataFrame, allowed: DataFrame, lookups: DataFrame,
                 .join(allowed.select("host").distinct().withColumn("_allowed", F.lit(True)),
                       "host", "full"))
     parts = once(df, _scheme=urls.scheme_of(F.col(url)), host=urls.host_of(F.col(url)))
-    joined = parts.join(per_host, "host", "left")
+    joined = lookup(parts, per_host, "host")
     literal = addresses.is_ipv4(F.col("host")) | F.col("host").contains(":")
     ip = F.when(literal, F.col("host")).otherwise(F.col("ip"))
     reason = _reason(
@@ -91,5 +88,5 @@ def seed_admission(df: DataFrame, allowed: DataFrame, url: str = "url") -> DataF
         ("scheme", ~F.col("_scheme").isin(WEB_SCHEMES)),
         ("host", ~F.coalesce(F.col("_allowed"), F.lit(False))),
     )
-    return (parts.join(flags, "host", "left").withColumn("reject_reason", reason)
+    return (lookup(parts, flags, "host").withColumn("reject_reason", reason)
             .select(*df.columns, "reject_reason"))

@@ -9,6 +9,7 @@ from webcorpus import settings
 from webcorpus.operators import analytics, comments as ops
 from webcorpus.operators.dedupe import content_dedupe
 from webcorpus.operators.extract import build_articles
+from webcorpus.operators.joins import lookup
 from webcorpus.operators.quality import QualityRules, quality_filter
 from webcorpus.schemas import PROGRESS
 from webcorpus.session import written
@@ -44,9 +45,8 @@ def collect_comments(spark: SparkSession, posts: DataFrame, pages: DataFrame, st
     """
     progress = load_progress(spark, progress_path)
     todo = ops.pending_posts(posts, progress).select("post", F.col("page").alias("_from"))
-    fresh = written(
-        ops.page_cap(pages.join(todo, "post").filter(F.col("page") > F.col("_from")), cap)
-        .drop("_from"), "pages")
+    left = lookup(pages, todo, "post", "inner").filter(F.col("page") > F.col("_from"))
+    fresh = written(ops.page_cap(left, cap).select(pages.columns), "pages")
     comments_csv_sink(
         ops.comment_dedupe(ops.flatten_comments(fresh), seen_comment_ids(spark, store)), store)
     save_progress(ops.comment_progress(fresh).select(PROGRESS.fieldNames()), progress_path)

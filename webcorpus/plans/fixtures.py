@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webcorpus.functions import urls
+from webcorpus.operators.joins import lookup
+from webcorpus.sources.files import spread
 
 AS_OF = "2024-01-02"
 SITE = "http://news.example.com"
@@ -28,6 +30,10 @@ def pages(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages")
 
 
+def pages_to_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(pages(spark, sf))
+
+
 def articles_from(documents: DataFrame) -> DataFrame:
     """D1: an article per document, with every quality rule, copies and gaps planted."""
     doc = F.col("doc_id")
@@ -99,7 +105,8 @@ def raw_comment_pages(spark: SparkSession, sf: str) -> DataFrame:
     own = talk.withColumn("page", F.floor(F.col("turn") / 3) + 1)
     last = talk.groupBy("conv_id").agg((F.floor(F.max("turn") / 3) + 1).alias("last_page"))
     repeated = own.filter(F.col("turn") % 3 == 2).withColumn("page", F.col("page") + 1)
-    rows = own.unionByName(repeated).join(last, "conv_id").filter(F.col("page") <= F.col("last_page"))
+    rows = lookup(own.unionByName(repeated), last, "conv_id", "inner").filter(
+        F.col("page") <= F.col("last_page"))
     comment = F.struct(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
         F.struct(F.col("role").alias("screen_name")).alias("user"),

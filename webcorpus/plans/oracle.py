@@ -71,6 +71,8 @@ def _visible(html: str) -> str:
 
 def _entities(text: str) -> str:
     for name, char in ENTITIES.items():
+        if name == "amp":  # last, so that nothing is decoded twice
+            continue
         quoted = char.replace("'", "''")
         text = f"replace({text}, '&{name};', '{quoted}')"
     return f"replace({text}, '&amp;', '&')"

@@ -246,27 +246,27 @@ def _(spark, sf):
 
 @query("extract_links")
 def _(spark, sf):
-    return links.extract_links(fx.pages(spark, sf))
+    return links.extract_links(fx.pages_to_extract(spark, sf))
 
 
 @query("resolve_links")
 def _(spark, sf):
-    return links.resolve_links(links.extract_links(fx.pages(spark, sf)))
+    return links.resolve_links(links.extract_links(fx.pages_to_extract(spark, sf)))
 
 
 @query("extract_text")
 def _(spark, sf):
-    return extract.extract_text(fx.pages(spark, sf)).select("page_id", "content_md")
+    return extract.extract_text(fx.pages_to_extract(spark, sf)).select("page_id", "content_md")
 
 
 @query("extract_metadata")
 def _(spark, sf):
-    return extract.extract_metadata(fx.pages(spark, sf)).select("page_id", "title", "published")
+    return extract.extract_metadata(fx.pages_to_extract(spark, sf)).select("page_id", "title", "published")
 
 
 @query("build_articles")
 def _(spark, sf):
-    return extract.build_articles(fx.pages(spark, sf))
+    return extract.build_articles(fx.pages_to_extract(spark, sf))
 
 
 @query("article_messages")
@@ -368,7 +368,7 @@ def _(spark, sf):
 
 @query("min_article_chars")
 def _(spark, sf):
-    text = extract.extract_text(fx.pages(spark, sf).unionByName(fx.link_pages(spark, sf)))
+    text = extract.extract_text(fx.pages_to_extract(spark, sf).unionByName(fx.link_pages(spark, sf)))
     return extract.min_article_chars(text).select(
         "page_id", "url", F.length("content_md").cast("long").alias("content_len"))
 
@@ -461,7 +461,7 @@ def _(spark, sf):
 
 @query("domain_top10_pages")
 def _(spark, sf):
-    return collect.top_domains(fx.pages(spark, sf))
+    return collect.top_domains(fx.pages_to_extract(spark, sf))
 
 
 @query("daily_trend")

@@ -19,6 +19,8 @@ def build_session(app: str = "webcorpus", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Expressions are built in Python; recording a call site for each piece dominates that.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **conf,

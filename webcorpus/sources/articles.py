@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 from webcorpus import schemas
 from webcorpus.operators.dedupe import insert_if_absent
-from webcorpus.sources.files import exists
+from webcorpus.sources.files import exists, spread
 
 
 def pages_source(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PAGE).parquet(path)
 
 
+def pages_to_extract(spark: SparkSession, path: str) -> DataFrame:
+    """Stored pages, on at least as many tasks as there are cores."""
+    return spread(pages_source(spark, path))
+
+
 def pages_stream(spark: SparkSession, path: str, glob: str | None = None,
                  files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schemas.PAGE)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from webcorpus import schemas, settings
 from webcorpus.sources.files import exists
 
-_CSV = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
+_CSV = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8",
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def comment_pages_source(spark: SparkSession, path: str) -> DataFrame:

@@ -1,11 +1,20 @@
-"""Existence tests on whatever file system a path names."""
+"""File system helpers for whatever file system a path names."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(
         spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small scan over all cores ahead of CPU-heavy work.
+
+    A scan with at least as many splits as there are cores, so any large one, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
