@@ -1,6 +1,8 @@
 import glob
 import json
 
+import pytest
+
 from webcorpus.operators import comments
 from webcorpus.plans import collect
 from webcorpus.sources import comments as io
@@ -92,13 +94,14 @@ def test_progress(spark, folder):
         ("b", 30, 3), ("new", 0, 0)]
 
 
-def test_collection_resumes_where_it_stopped(spark, folder):
-    store, progress = folder + "/csv", folder + "/progress"
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_collection_resumes_where_it_stopped(spark, folder, fmt):
+    store, progress = folder + "/store", folder + "/progress"
     posts = spark.createDataFrame([("a",), ("b",)], "post string")
-    collect.collect_comments(spark, posts, feed(spark), store, progress, cap=2)
-    assert io.comments_csv_source(spark, store).count() == 14  # 2 posts, 3 + 3 ids, one from page 0
+    collect.collect_comments(spark, posts, feed(spark), store, progress, cap=2, fmt=fmt)
+    assert io.comments_source(spark, store, fmt).count() == 14  # 2 posts, 3 + 3 ids, one from page 0
     for _ in range(2):
-        collect.collect_comments(spark, posts, feed(spark), store, progress)
-    ids = [r.id for r in io.comments_csv_source(spark, store).collect()]
+        collect.collect_comments(spark, posts, feed(spark), store, progress, fmt=fmt)
+    ids = [r.id for r in io.comments_source(spark, store, fmt).collect()]
     assert len(ids) == len(set(ids)) == 26
     assert all(r.done for r in io.load_progress(spark, progress).collect())

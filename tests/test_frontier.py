@@ -41,17 +41,20 @@ def test_known_urls_are_skipped_even_as_seeds(spark):
 
 
 def test_budgets(spark):
-    visits = spark.createDataFrame([(f"u{i}", f"f{i}", i // 3) for i in range(9)],
+    rows = [(i, SITE.format(i), "<p>" + "text " * (20 if i in (1, 2, 5) else 1)) for i in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    prints = {r.page_id: r.url_fp for r in extract.url_fingerprints(pages).collect()}
+    visits = spark.createDataFrame([(str(i), prints[i], i) for i in range(9)],
                                    "url string, url_fp string, depth long")
-    items = spark.createDataFrame([(f"f{i}",) for i in (1, 2, 5)], "url_fp string")
 
-    def left(pages, articles):
-        return sorted(r.url for r in frontier.frontier_budget(visits, items, pages, articles).collect())
+    def left(page_budget, item_budget):
+        got = frontier.frontier_budget(visits, pages, page_budget, item_budget)
+        return sorted(int(r.url) for r in got.collect())
 
-    assert left(200, 30) == [f"u{i}" for i in range(9)]
-    assert left(4, 30) == ["u0", "u1", "u2", "u3"]
-    assert left(200, 2) == ["u0", "u1", "u2"]
-    assert left(2, 2) == ["u0", "u1"]
+    assert left(200, 30) == list(range(9))
+    assert left(4, 30) == [0, 1, 2, 3]
+    assert left(200, 2) == [0, 1, 2]
+    assert left(2, 2) == [0, 1]
 
 
 def test_host_cap_and_retries(spark):

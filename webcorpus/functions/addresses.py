@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,14 +39,24 @@ def ipv4_number(ip: Column) -> Column:
     return F.when(is_ipv4(ip), number)
 
 
+def _sql(value: int | str) -> str:
+    return f"{value}L" if isinstance(value, int) else f"'{value}'"
+
+
+def _in_ranges(value: Column, ranges: list[tuple]) -> Column:
+    table = "array({})".format(", ".join(
+        f"named_struct('low', {_sql(low)}, 'high', {_sql(high)})" for low, high in ranges))
+    return F.exists(F.expr(table), lambda r: value.between(r["low"], r["high"]))
+
+
 def _ipv4_blocked(number: Column) -> Column:
-    def between(block: str) -> Column:
+    def ends(block: str) -> tuple[int, int]:
         start, bits = block.split("/")
         low = _dotted(start)
-        return number.between(low, low + 2 ** (32 - int(bits)) - 1)
+        return low, low + 2 ** (32 - int(bits)) - 1
 
-    blocked = reduce(lambda a, b: a | b, [between(block) for block in IPV4_BLOCKED])
-    return blocked & ~number.isin([_dotted(ip) for ip in IPV4_PUBLIC])
+    public = number.isin([_dotted(ip) for ip in IPV4_PUBLIC])
+    return _in_ranges(number, [ends(block) for block in IPV4_BLOCKED]) & ~public
 
 
 def _dotted(ip: str) -> int:
@@ -83,17 +91,16 @@ def ipv6_hex(ip: Column) -> Column:
 
 
 def _ipv6_in(hexed: Column, blocks: list[str]) -> Column:
-    def between(block: str) -> Column:
+    def ends(block: str) -> tuple[str, str]:
         start, bits = block.split("/")
         left, _, right = start.partition("::")
         groups = left.split(":")
         tail = right.split(":") if right else []
         groups += ["0"] * (8 - len(groups) - len(tail)) + tail
         low = int("".join(g.zfill(4) for g in groups), 16)
-        high = low + 2 ** (128 - int(bits)) - 1
-        return hexed.between(f"{low:032x}", f"{high:032x}")
+        return f"{low:032x}", f"{low + 2 ** (128 - int(bits)) - 1:032x}"
 
-    return reduce(lambda a, b: a | b, [between(block) for block in blocks])
+    return _in_ranges(hexed, [ends(block) for block in blocks])
 
 
 def is_blocked(ip: Column) -> Column:

@@ -99,17 +99,24 @@ def fingerprint(url: Column) -> Column:
 
 
 def scheme_of(url: Column) -> Column:
-    return split_url(url)["scheme"]
+    web = F.regexp_extract(url, r"^(https?):", 1)
+    return let(web, lambda w: F.when(w != "", w).otherwise(split_url(url)["scheme"]))
 
 
-def host_of(url: Column) -> Column:
-    """Host name without user info and port, in lower case; '' when there is none."""
-    place = F.regexp_extract(split_url(url)["netloc"], r"([^@]*)\z", 1)
+def _host_of_netloc(netloc: Column) -> Column:
+    place = F.regexp_extract(netloc, r"([^@]*)\z", 1)
     return F.lower(let(place, lambda p: F.when(
         p.contains("["), F.regexp_extract(p, r"\[([^\]]*)", 1),
     ).otherwise(F.substring_index(p, ":", 1))))
 
 
+def host_of(url: Column) -> Column:
+    """Host name without user info and port, in lower case; '' when there is none."""
+    plain = F.regexp_extract(url, r"^https?://([a-z0-9.\-]+)(?::[0-9]*)?(?:[/?#]|\z)", 1)
+    return let(plain, lambda h: F.when(h != "", h).otherwise(
+        _host_of_netloc(split_url(url)["netloc"])))
+
+
 def domain_of(url: Column) -> Column:
     """What stands between '//' and the next '/', untouched (port and case stay)."""
     return F.split_part(F.split_part(url, F.lit("//"), F.lit(2)), F.lit("/"), F.lit(1))
@@ -157,16 +164,17 @@ def _resolve_parts(base: Column, href: Column, b: Column, h: Column) -> Column:
     needs_walk = merged.rlike(r"(?:^|/)\.\.?(?:/|\z)") | (relative & merged.contains("//"))
     path = F.when(needs_walk, _walk_dots(merged, relative)).otherwise(merged)
     query = F.when(h["query"] != "", h["query"]).otherwise(b["query"])
-    return (
-        F.when(href == "", base)
-         .when(foreign, href)
-         .when(h["netloc"] != "",
-               _join(scheme, h["netloc"], F.concat(core, params), h["query"], h["fragment"]))
-         .when((core == "") & (params == ""),
-               _join(scheme, b["netloc"], base_path, query, h["fragment"]))
-         .otherwise(
-               _join(scheme, b["netloc"], F.concat(path, params), h["query"], h["fragment"]))
+
+    def target(netloc: Column, path: Column, query: Column) -> Column:
+        return F.struct(netloc.alias("netloc"), path.alias("path"), query.alias("query"))
+
+    chosen = (
+        F.when(h["netloc"] != "", target(h["netloc"], F.concat(core, params), h["query"]))
+         .when((core == "") & (params == ""), target(b["netloc"], base_path, query))
+         .otherwise(target(b["netloc"], F.concat(path, params), h["query"]))
     )
+    return F.when(href == "", base).when(foreign, href).otherwise(let(
+        chosen, lambda t: _join(scheme, t["netloc"], t["path"], t["query"], h["fragment"])))
 
 
 def resolve(base: Column, href: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from webcorpus.functions import urls
+from webcorpus.functions.text import once
 from webcorpus.operators.numbering import assign_ids
 from webcorpus.schemas import ARTICLE_FIELDS
 
@@ -40,7 +41,7 @@ def unseen(df: DataFrame, key: str, arrival: str | list[str],
 def unseen_urls(df: DataFrame, arrival: str, known: DataFrame | None = None,
                 url: str = "url") -> DataFrame:
     """First arrival of every URL whose fingerprint is not known yet; adds `url_fp`."""
-    return unseen(df.withColumn("url_fp", urls.fingerprint(F.col(url))), "url_fp", arrival, known)
+    return unseen(once(df, url_fp=urls.fingerprint(F.col(url))), "url_fp", arrival, known)
 
 
 def content_dedupe(articles: DataFrame, arrival: str = "id",

@@ -15,11 +15,11 @@ def normalize_urls(df: DataFrame, url: str = "url") -> DataFrame:
 
 
 def url_fingerprints(df: DataFrame, url: str = "url") -> DataFrame:
-    return df.withColumn("url_fp", urls.fingerprint(F.col(url)))
+    return once(df, url_fp=urls.fingerprint(F.col(url)))
 
 
 def url_parts(df: DataFrame, url: str = "url") -> DataFrame:
-    return df.withColumns({"scheme": urls.scheme_of(F.col(url)), "host": urls.host_of(F.col(url))})
+    return once(df, scheme=urls.scheme_of(F.col(url)), host=urls.host_of(F.col(url)))
 
 
 def url_domain(df: DataFrame, url: str = "url") -> DataFrame:

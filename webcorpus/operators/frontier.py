@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from webcorpus import settings
 from webcorpus.functions import urls
+from webcorpus.functions.text import once
 from webcorpus.operators.dedupe import first_wins, not_in, unseen
+from webcorpus.operators.extract import build_articles
 from webcorpus.operators.links import article_links
 from webcorpus.session import written
 
@@ -19,7 +21,7 @@ def link_graph(pages: DataFrame, admit: Callable[[DataFrame], DataFrame]) -> Dat
     """(src_fp, url, url_fp): admitted article links of every stored page."""
     links = article_links(pages).select(
         urls.fingerprint(F.col("url")).alias("src_fp"), F.col("abs_url").alias("url"))
-    return admit(links).withColumn("url_fp", urls.fingerprint(F.col("url")))
+    return once(admit(links), url_fp=urls.fingerprint(F.col("url")))
 
 
 def crawl_frontier(seeds: DataFrame, pages: DataFrame, admit: Callable[[DataFrame], DataFrame],
@@ -31,7 +33,7 @@ def crawl_frontier(seeds: DataFrame, pages: DataFrame, admit: Callable[[DataFram
     leave it out for a fresh run. The pages are read once, for the link graph; each hop is a join
     of slim rows, and is written to the shared folder so that plans do not grow with the depth.
     """
-    start = admit(seeds.select("url")).withColumn("url_fp", urls.fingerprint(F.col("url")))
+    start = once(admit(seeds.select("url")), url_fp=urls.fingerprint(F.col("url")))
     level = unseen(start, "url_fp", "url", known).select(
         "url", "url_fp", F.lit(0).cast("long").alias("depth"))
     reached = level = written(level, "frontier")
@@ -52,18 +54,21 @@ def crawl_frontier(seeds: DataFrame, pages: DataFrame, admit: Callable[[DataFram
     return reached
 
 
-def frontier_budget(frontier: DataFrame, items: DataFrame,
+def frontier_budget(frontier: DataFrame, pages: DataFrame,
                     page_budget: int = settings.PAGE_BUDGET,
-                    item_budget: int = settings.ITEM_BUDGET) -> DataFrame:
+                    item_budget: int = settings.ITEM_BUDGET,
+                    items_of: Callable[[DataFrame], DataFrame] = build_articles) -> DataFrame:
     """The visits made before a budget runs out, in order of (depth, url_fp).
 
-    `items` holds the fingerprints of pages that yield an article. The window sees at most
-    `page_budget` rows.
+    `items_of` turns visited pages into items; the visit that fills the item budget is the last.
+    Broadcast and window hold at most `page_budget` rows, and only visited pages are extracted.
     """
-    flags = items.select("url_fp").distinct().withColumn("_item", F.lit(1))
     visits = frontier.orderBy("depth", "url_fp").limit(page_budget)
+    keyed = once(pages, url_fp=urls.fingerprint(F.col("url")))
+    visited = keyed.join(F.broadcast(visits.select("url_fp")), "url_fp", "left_semi")
+    items = items_of(visited.select(pages.columns)).select("url_fp").distinct()
     before = W.orderBy("depth", "url_fp").rowsBetween(W.unboundedPreceding, -1)
-    counted = visits.join(flags, "url_fp", "left").withColumn(
+    counted = visits.join(items.withColumn("_item", F.lit(1)), "url_fp", "left").withColumn(
         "_done", F.coalesce(F.sum(F.coalesce("_item", F.lit(0))).over(before), F.lit(0)))
     return counted.filter(F.col("_done") < item_budget).select(frontier.columns)
 

@@ -15,7 +15,7 @@ from webcorpus.schemas import PROGRESS
 from webcorpus.session import written
 from webcorpus.sources.articles import articles_sink
 from webcorpus.sources.comments import (
-    comments_csv_sink, load_progress, save_progress, seen_comment_ids)
+    comments_sink, load_progress, save_progress, seen_comment_ids)
 
 
 def good_articles(pages: DataFrame, rules: QualityRules | None = None) -> DataFrame:
@@ -37,7 +37,8 @@ def ingest_pages(pages: DataFrame, store: str, rules: QualityRules | None = None
 
 
 def collect_comments(spark: SparkSession, posts: DataFrame, pages: DataFrame, store: str,
-                     progress_path: str, cap: int = settings.PAGES_PER_POST) -> None:
+                     progress_path: str, cap: int = settings.PAGES_PER_POST,
+                     fmt: str = "csv") -> None:
     """Store the new comments of all pages not done yet and move the progress on.
 
     Comments are stored before the progress: after a failure in between, the pages come again and
@@ -47,6 +48,6 @@ def collect_comments(spark: SparkSession, posts: DataFrame, pages: DataFrame, st
     todo = ops.pending_posts(posts, progress).select("post", F.col("page").alias("_from"))
     left = lookup(pages, todo, "post", "inner").filter(F.col("page") > F.col("_from"))
     fresh = written(ops.page_cap(left, cap).select(pages.columns), "pages")
-    comments_csv_sink(
-        ops.comment_dedupe(ops.flatten_comments(fresh), seen_comment_ids(spark, store)), store)
+    new = ops.comment_dedupe(ops.flatten_comments(fresh), seen_comment_ids(spark, store, fmt))
+    comments_sink(new, store, fmt)
     save_progress(ops.comment_progress(fresh).select(PROGRESS.fieldNames()), progress_path)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcorpus.functions import urls
-from webcorpus.operators.joins import lookup
+from webcorpus.operators.extract import url_fingerprints
+from webcorpus.session import written
 from webcorpus.sources.files import spread
 
 AS_OF = "2024-01-02"
@@ -96,28 +96,29 @@ def link_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_comment_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """D3: (post, page, body) with one JSON document per page.
+    """D3: (post, page, body) with one JSON document per page, as stored by a collector.
 
-    A page holds three turns of a conversation and repeats the last comment of the page before,
-    so the lists collected here have at most four entries.
+    A page holds three turns of a conversation, so the lists collected here have at most three
+    entries; it repeats the last comment of the page before. Pages meet their neighbours on
+    (conversation, page), which is unique, so a long conversation spreads over all tasks.
     """
-    talk = table(spark, sf, "conversations")
-    own = talk.withColumn("page", F.floor(F.col("turn") / 3) + 1)
-    last = talk.groupBy("conv_id").agg((F.floor(F.max("turn") / 3) + 1).alias("last_page"))
-    repeated = own.filter(F.col("turn") % 3 == 2).withColumn("page", F.col("page") + 1)
-    rows = lookup(own.unionByName(repeated), last, "conv_id", "inner").filter(
-        F.col("page") <= F.col("last_page"))
     comment = F.struct(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
         F.struct(F.col("role").alias("screen_name")).alias("user"),
         F.concat(F.lit("来自"), F.col("role"), F.lit("客户端")).alias("source"),
         F.col("text").alias("text_raw"))
-    grouped = rows.groupBy("conv_id", "page", "last_page").agg(
+    own = table(spark, sf, "conversations").groupBy(
+        "conv_id", (F.floor(F.col("turn") / 3) + 1).alias("page")).agg(
         F.array_sort(F.collect_list(comment)).alias("data"))
-    token = F.when(F.col("page") == F.col("last_page"), F.lit(0)).otherwise(F.col("page"))
-    return grouped.select(
+    before = own.select("conv_id", (F.col("page") + 1).alias("page"),
+                        F.slice("data", -1, 1).alias("repeated"))
+    after = own.select("conv_id", (F.col("page") - 1).alias("page"), F.lit(True).alias("more"))
+    data = F.when(F.col("repeated").isNull(), F.col("data")).otherwise(F.concat("repeated", "data"))
+    token = F.when(F.col("more"), F.col("page")).otherwise(0)
+    pages = own.join(before, ["conv_id", "page"], "left").join(after, ["conv_id", "page"], "left")
+    return written(pages.select(
         F.col("conv_id").cast("string").alias("post"), "page",
-        F.to_json(F.struct("data", token.alias("max_id"))).alias("body"))
+        F.to_json(F.struct(data.alias("data"), token.alias("max_id"))).alias("body")), "comments")
 
 
 def jobs(spark: SparkSession, sf: str) -> DataFrame:
@@ -199,5 +200,5 @@ def page_urls(spark: SparkSession, sf: str) -> DataFrame:
 
 def known_urls(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprints registered before the run."""
-    before = pages(spark, sf).filter(F.col("page_id") % 10 == 0)
-    return before.select(urls.fingerprint(F.col("url")).alias("url_fp"))
+    before = pages(spark, sf).filter(F.col("page_id") % 10 == 0).select("url")
+    return url_fingerprints(before).select("url_fp")

@@ -159,7 +159,7 @@ l1 AS (SELECT DISTINCT dst AS url FROM edges JOIN l0 ON src = url
   WHERE dst NOT IN (SELECT url FROM l0)),
 l2 AS (SELECT DISTINCT dst AS url FROM edges JOIN l1 ON src = url
   WHERE dst NOT IN (SELECT url FROM l0) AND dst NOT IN (SELECT url FROM l1)),
-frontier AS (SELECT url, sha1(url) AS url_fp, 0 AS depth FROM l0
+frontier AS (SELECT url, sha1(url) AS url_fp, CAST(0 AS BIGINT) AS depth FROM l0
   UNION ALL SELECT url, sha1(url), 1 FROM l1 UNION ALL SELECT url, sha1(url), 2 FROM l2)"""
 
 _D3 = """last AS (SELECT conv_id, max(turn) // 3 + 1 AS last_page FROM conversations GROUP BY conv_id),
@@ -208,7 +208,7 @@ _D6 = """d6 AS (SELECT event_id // 6 * 3 + CASE WHEN event_id % 6 = 0 THEN 0 WHE
     ELSE 2 END AS k,
   event_id % 6 - CASE WHEN event_id % 6 = 0 THEN 0 WHEN event_id % 6 <= 2 THEN 1 ELSE 3 END + 1 AS attempt,
   CASE event_type WHEN 'error' THEN [429, 403, 500, 502, 503, 504][event_id // 2 % 6 + 1]
-    WHEN 'view' THEN 404 ELSE 200 END AS status FROM events),
+    WHEN 'view' THEN 404 ELSE CAST(200 AS BIGINT) END AS status FROM events),
 d6_url AS (SELECT 'http://h' || (k % 50) || '.example.com/' || k AS url, attempt, status FROM d6)"""
 
 _D7 = f"""d7 AS (SELECT page_id, url FROM pages UNION ALL

@@ -553,8 +553,8 @@ def _(spark, sf):
 
 @query("frontier_budget")
 def _(spark, sf):
-    items = extract.build_articles(fx.link_pages(spark, sf)).select("url_fp")
-    return frontier.frontier_budget(_frontier(spark, sf), items, page_budget=5, item_budget=3)
+    return frontier.frontier_budget(_frontier(spark, sf), fx.link_pages(spark, sf),
+                                    page_budget=5, item_budget=3)
 
 
 @query("follow_links_switch")

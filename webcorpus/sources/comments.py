@@ -35,11 +35,25 @@ def comments_csv_source(spark: SparkSession, path: str) -> DataFrame:
     return rows.na.fill("")
 
 
-def seen_comment_ids(spark: SparkSession, path: str) -> DataFrame:
+def comments_sink(comments: DataFrame, path: str, fmt: str = "csv") -> None:
+    """Append comments as CSV, or as Parquet, which gives up its ids without reading the texts."""
+    if fmt == "csv":
+        comments_csv_sink(comments, path)
+    else:
+        comments.select("id", "screen_name", "region", "text").write.mode("append").parquet(path)
+
+
+def comments_source(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    if fmt == "csv":
+        return comments_csv_source(spark, path)
+    return spark.read.schema(schemas.COMMENT_CSV).parquet(path)
+
+
+def seen_comment_ids(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """(id): the distinct comment ids stored so far; none when there is no file yet."""
     if not exists(spark, path):
         return spark.createDataFrame([], "id string")
-    return comments_csv_source(spark, path).select("id").distinct()
+    return comments_source(spark, path, fmt).select("id").distinct()
 
 
 def load_progress(spark: SparkSession, path: str) -> DataFrame:

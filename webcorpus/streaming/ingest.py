@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -13,22 +14,25 @@ from webcorpus.operators.dedupe import first_wins, insert_if_absent, known_of, n
 from webcorpus.operators.extract import build_articles
 from webcorpus.operators.quality import QualityRules, quality_filter
 from webcorpus.sources.articles import articles_source
-from webcorpus.sources.files import exists
+from webcorpus.sources.files import exists, spread
 
 _ONCE = {"availableNow": True}
 
 
 def _per_batch(stream: DataFrame, write: Callable[[DataFrame], None], checkpoint: str,
                trigger: dict | None) -> StreamingQuery:
-    def run(batch: DataFrame, _: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            write(batch)
-        finally:
-            batch.unpersist()
+    return (stream.writeStream.foreachBatch(lambda batch, _: write(batch))
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or _ONCE)).start())
 
-    return (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or _ONCE)).start())
+
+@contextmanager
+def _cached(df: DataFrame) -> Iterator[DataFrame]:
+    """Rows of one batch that are read more than once; lost blocks are computed again."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
 
 
 def stream_ingest(pages: DataFrame, path: str, checkpoint: str,
@@ -39,24 +43,25 @@ def stream_ingest(pages: DataFrame, path: str, checkpoint: str,
     finds its contents stored and appends nothing.
     """
     def write(batch: DataFrame) -> None:
-        stored = articles_source(batch.sparkSession, path)
-        known = known_of(batch, stored, "content_fp")
-        insert_if_absent(stored, batch, "page_id", known).write.mode("append").parquet(path)
+        articles = quality_filter(build_articles(spread(batch)), rules)
+        with _cached(articles.withColumn("crawled_at", F.current_timestamp())) as fresh:
+            stored = articles_source(batch.sparkSession, path)
+            known = known_of(fresh, stored, "content_fp")
+            insert_if_absent(stored, fresh, "page_id", known).write.mode("append").parquet(path)
 
-    articles = quality_filter(build_articles(pages), rules)
-    return _per_batch(articles.withColumn("crawled_at", F.current_timestamp()),
-                      write, checkpoint, trigger)
+    return _per_batch(pages, write, checkpoint, trigger)
 
 
 def stream_dedupe(rows: DataFrame, key: str, arrival: str, path: str, checkpoint: str,
                   trigger: dict | None = None) -> StreamingQuery:
     """Append the first row of every key to the folder `path`, across batches and restarts."""
     def write(batch: DataFrame) -> None:
-        first = first_wins(batch, key, arrival)
-        if exists(batch.sparkSession, path):
-            stored = batch.sparkSession.read.schema(batch.schema).parquet(path)
-            first = not_in(first, key, known_of(batch, stored, key))
-        first.write.mode("append").parquet(path)
+        with _cached(batch) as fresh:
+            first = first_wins(fresh, key, arrival)
+            if exists(batch.sparkSession, path):
+                stored = batch.sparkSession.read.schema(batch.schema).parquet(path)
+                first = not_in(first, key, known_of(fresh, stored, key))
+            first.write.mode("append").parquet(path)
 
     return _per_batch(rows, write, checkpoint, trigger)
 
