@@ -1,5 +1,6 @@
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from webcorpus import schemas
@@ -14,7 +15,9 @@ def store(spark, n=45):
     return spark.createDataFrame(rows, schemas.ARTICLE).repartition(4)
 
 
-def test_paging(spark):
+@pytest.mark.parametrize("shallow", [10_000, 0])
+def test_paging(spark, monkeypatch, shallow):
+    monkeypatch.setattr(analytics, "SHALLOW", shallow)
     articles = store(spark)
 
     def ids(**where):

@@ -79,8 +79,18 @@ def test_host_filters(spark):
     assert admission.filter_hosts(frame, hosts).count() == 1
 
 
-def test_hot_host_is_not_shuffled(spark):
-    """A host with most of the rows stays in place; the others, and all rows, are kept."""
+@pytest.fixture(params=["10MB", "-1"])
+def any_size(spark, request):
+    """Run a test with tables that may be broadcast, and with tables that may not."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    saved = spark.conf.get(key)
+    spark.conf.set(key, request.param)
+    yield request.param
+    spark.conf.set(key, saved)
+
+
+def test_hot_host(spark, any_size):
+    """A host with most of the rows is not shuffled; the others, and all rows, are kept."""
     rows = spark.range(0, 60_000, 1, 8).select("id", F.when(
         F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("h"), F.col("id"))).alias("host"))
     assert [r.host for r in hot_keys(rows, "host").collect()] == ["hot"]
@@ -92,3 +102,11 @@ def test_hot_host_is_not_shuffled(spark):
     table = allowed.distinct().withColumn("n", F.length("host"))
     assert lookup(rows, table, "host").filter("n IS NULL").count() == 6_000
     assert lookup(rows, table, "host", "inner").count() == 54_000
+
+
+def test_admission_without_broadcast(spark, any_size):
+    site = [(f"h{i}.com", "1.2.3.4" if i % 2 else "10.0.0.1", 0) for i in range(1500) if i % 5]
+    got = judge(spark, [f"http://h{i}.com/" for i in range(1500)],
+                [f"h{i}.com" for i in range(1500) if i % 3], site)
+    assert got == ["host" if not i % 3 else "unresolved" if not i % 5 else None if i % 2 else "ip"
+                   for i in range(1500)]

@@ -19,25 +19,41 @@ RELATIVE_SCHEMES = [
     "prospero", "rtsp", "rtsps", "rtspu", "sftp", "svn", "svn+ssh", "ws", "wss",
 ]
 
-# RFC 3986, appendix B, with the scheme limited to its legal characters.
-_URL = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?\z"
-
-
 # A web URL that is its own canonical form.
 _CANONICAL = r"^https?://[a-z0-9.:\-]+/[^?#\x00-\x20]*\z"
 
 
+def _clean(url: Column) -> Column:
+    # Leading control characters and blanks, and line breaks anywhere, are not part of a URL.
+    return F.when(url.rlike(r"[\x00-\x20]"), F.regexp_replace(
+        url, r"^[\x00-\x20]+|[\t\r\n]", "")).otherwise(url)
+
+
+def _after(text: Column, head: Column) -> Column:
+    """What follows `head` and one separator in `text`; '' when nothing does."""
+    return F.substr(text, F.length(head) + 2)
+
+
 def split_url(url: Column) -> Column:
     """Struct of scheme (lower case), netloc, path, query and fragment; '' where absent."""
-    # Leading control characters and blanks, and line breaks anywhere, are not part of a URL.
-    clean = F.regexp_replace(url, r"^[\x00-\x20]+|[\t\r\n]", "")
-    return let(clean, lambda u: F.struct(
-        F.lower(F.regexp_extract(u, _URL, 1)).alias("scheme"),
-        F.regexp_extract(u, _URL, 2).alias("netloc"),
-        F.regexp_extract(u, _URL, 3).alias("path"),
-        F.regexp_extract(u, _URL, 4).alias("query"),
-        F.regexp_extract(u, _URL, 5).alias("fragment"),
-    ))
+    def parts(scheme: Column, rest: Column, head: Column, place: Column, netloc: Column) -> Column:
+        path = F.when(netloc.isNull(), place).otherwise(F.substr(place, F.length(netloc) + 3))
+        return F.struct(
+            F.lower(scheme).alias("scheme"), F.coalesce(netloc, F.lit("")).alias("netloc"),
+            path.alias("path"), _after(head, place).alias("query"),
+            _after(rest, head).alias("fragment"))
+
+    def cut(scheme: Column, rest: Column) -> Column:
+        # Up to '#', of that up to '?', and of that, after '//', up to '/'.
+        return let(F.substring_index(rest, "#", 1), lambda head: let(
+            F.substring_index(head, "?", 1), lambda place: let(
+                F.when(place.startswith("//"),
+                       F.substring_index(F.substr(place, F.lit(3)), "/", 1)),
+                lambda netloc: parts(scheme, rest, head, place, netloc))))
+
+    return let(_clean(url), lambda u: let(
+        F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1), lambda scheme: let(
+            F.when(scheme == "", u).otherwise(_after(u, scheme)), lambda rest: cut(scheme, rest))))
 
 
 def _one_of(scheme: Column, schemes: list[str]) -> Column:
@@ -113,8 +129,8 @@ def _host_of_netloc(netloc: Column) -> Column:
 def host_of(url: Column) -> Column:
     """Host name without user info and port, in lower case; '' when there is none."""
     plain = F.regexp_extract(url, r"^https?://([a-z0-9.\-]+)(?::[0-9]*)?(?:[/?#]|\z)", 1)
-    return let(plain, lambda h: F.when(h != "", h).otherwise(
-        _host_of_netloc(split_url(url)["netloc"])))
+    netloc = F.regexp_extract(_clean(url), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1)
+    return let(plain, lambda h: F.when(h != "", h).otherwise(_host_of_netloc(netloc)))
 
 
 def domain_of(url: Column) -> Column:

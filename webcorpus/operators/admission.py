@@ -63,9 +63,10 @@ def admission(df: DataFrame, allowed: DataFrame, lookups: DataFrame,
 
     Allowlist and addresses meet in one small table first, so the URLs are joined only once.
     """
-    per_host = (first_addresses(lookups)
-                .join(allowed.select("host").distinct().withColumn("_allowed", F.lit(True)),
-                      "host", "full"))
+    flags = first_addresses(lookups).withColumn("_allowed", F.lit(False)).unionByName(
+        allowed.select("host", F.lit(None).cast("string").alias("ip"), F.lit(True).alias("_allowed")))
+    per_host = flags.groupBy("host").agg(
+        F.max("ip").alias("ip"), F.bool_or("_allowed").alias("_allowed"))
     parts = once(df, _scheme=urls.scheme_of(F.col(url)), host=urls.host_of(F.col(url)))
     joined = lookup(parts, per_host, "host")
     literal = addresses.is_ipv4(F.col("host")) | F.col("host").contains(":")

@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 from webcorpus import settings
 from webcorpus.functions import urls
 from webcorpus.functions.text import or_default
+from webcorpus.operators.numbering import running_total
 from webcorpus.operators.quality import QualityRules, tag_quality
 
+# Most ids that a list page may bring into one task as a top-k.
+SHALLOW = 10_000
+
 
 def article_totals(articles: DataFrame, as_of: str | None = None) -> DataFrame:
     """total, and today: the articles collected on the day `as_of` (default: the current date)."""
@@ -93,15 +97,23 @@ def article_rows(articles: DataFrame) -> DataFrame:
         _minute("crawled_at").alias("crawled_at"))
 
 
+def _page_ids(articles: DataFrame, offset: int, size: int) -> DataFrame:
+    """(id): the ids of one page, newest first."""
+    ids = articles.select("id")
+    if offset + size <= SHALLOW:
+        return ids.orderBy(F.desc("id")).offset(offset).limit(size)
+    ranked = running_total(ids.withColumn("_age", -F.col("id")), [], "_age", F.lit(1), "_rank")
+    return ranked.filter(F.col("_rank").between(offset + 1, offset + size)).select("id")
+
+
 def article_page(articles: DataFrame, page: int = 1, size: int = settings.PAGE_SIZE) -> DataFrame:
     """One page of the list, newest id first; page and size are clamped to their legal range.
 
-    The ids alone are sorted. Their bounds then go to the scan as a range, so only the row groups
-    that hold this page give up their bodies.
+    Only ids are ordered: as a top-k for the first pages, by ranks in blocks beyond. Their bounds
+    then go to the scan as a range, so only the row groups that hold the page give up their bodies.
     """
     size = min(max(size, 1), settings.MAX_PAGE_SIZE)
-    offset = (max(page, 1) - 1) * size
-    ids = articles.select("id").orderBy(F.desc("id")).offset(offset).limit(size)
+    ids = _page_ids(articles, (max(page, 1) - 1) * size, size)
     shown = articles.filter((F.col("id") >= ids.agg(F.min("id")).scalar())
                             & (F.col("id") <= ids.agg(F.max("id")).scalar()))
     return article_rows(shown).orderBy(F.desc("id"))

@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webcorpus import schemas, settings
-from webcorpus.functions.text import or_empty
+from webcorpus.functions.text import once, or_empty
 from webcorpus.operators.dedupe import unseen
 from webcorpus.operators.numbering import running_total
+from webcorpus.session import written
 
 
 def parse_pages(raw: DataFrame) -> DataFrame:
     """(post, page, data, max_id) from (post, page, body) with `body` as JSON."""
-    doc = F.from_json("body", schemas.COMMENT_PAGE)
-    return raw.select("post", "page", doc.alias("_doc")).select("post", "page", "_doc.*")
+    parsed = once(raw, _doc=F.from_json("body", schemas.COMMENT_PAGE))
+    return parsed.select("post", "page", "_doc.*")
 
 
 def flatten_comments(pages: DataFrame) -> DataFrame:
@@ -56,8 +57,12 @@ def comment_page_totals(comments: DataFrame, known: DataFrame | None = None) ->
 
 
 def comment_page_log(comments: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """Per page: rows, new rows, and the running total of new rows of the post."""
-    return running_total(_page_counts(comments, known), ["post"], "page", F.col("n_new"), "total")
+    """Per page: rows, new rows, and the running total of new rows of the post.
+
+    The page counts, a small table that is read twice, are written to the shared folder.
+    """
+    counts = written(_page_counts(comments, known), "page-counts")
+    return running_total(counts, ["post"], "page", F.col("n_new"), "total")
 
 
 def page_cap(pages: DataFrame, cap: int = settings.PAGES_PER_POST) -> DataFrame:

@@ -10,6 +10,7 @@ from webcorpus.functions import urls
 from webcorpus.functions.text import once
 from webcorpus.operators.numbering import assign_ids
 from webcorpus.schemas import ARTICLE_FIELDS
+from webcorpus.session import written
 
 
 def first_wins(df: DataFrame, key: str, arrival: str | list[str]) -> DataFrame:
@@ -94,7 +95,7 @@ def insert_if_absent(target: DataFrame, incoming: DataFrame, arrival: str,
     """
     slim = incoming.select(F.col(arrival).alias("_at"), "content_fp")
     winners = content_dedupe(slim, "_at", target if known is None else known).select("_at")
-    ids = assign_ids(winners, "_at", max_id(target))
+    ids = assign_ids(written(winners, "winners"), "_at", max_id(target))
     rows = incoming.withColumn("_at", F.col(arrival)).drop("id")
     return rows.join(ids, "_at").select(ARTICLE_FIELDS)
 

@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 HOT_KEYS = 1000
 
 
+def is_small(table: DataFrame) -> bool:
+    """Whether Catalyst's size estimate lets it broadcast `table`; runs no job."""
+    limit = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
     """The keys that hold more than 1 / HOT_KEYS of all rows."""
     counts = df.groupBy(key).agg(F.count("*").alias("_n"))
@@ -19,11 +26,14 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
 def lookup(df: DataFrame, table: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join `df` with `table`, which has one row per (non-null) key; how: left, inner or left_semi.
 
-    Rows of hot keys stay where they are and meet a broadcast of their few table rows; only the
-    others, evenly spread over keys, are shuffled. Adaptive execution would not split them here:
-    it leaves joins alone whose other side is an aggregate. `df` is read three times, for its key
-    and its rows: hand in stored rows or something as cheap.
+    A table small enough to be broadcast is simply joined. Otherwise rows of hot keys stay where
+    they are and meet a broadcast of their few table rows; only the others, evenly spread over
+    keys, are shuffled. Adaptive execution would not split hot keys here: it leaves joins alone
+    whose other side is an aggregate. `df` is then read three times, for its keys and its rows:
+    hand in stored rows or something as cheap.
     """
+    if is_small(table):
+        return df.join(table, key, how)
     hot = F.broadcast(hot_keys(df, key))
     few = F.broadcast(table.join(hot, key, "left_semi"))
     return (df.join(hot, key, "left_semi").join(few, key, how)

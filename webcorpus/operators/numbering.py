@@ -16,9 +16,11 @@ def running_total(df: DataFrame, keys: list[str], order: str, value: Column, out
 
     `order` is a whole number, unique per key. Rows are cut into blocks of `block` consecutive
     order values, so a block holds at most `block` rows however large its key is; the block sums,
-    a small table, carry the total from one block to the next.
+    a small table, carry the total from one block to the next. `df` is read twice (block sums,
+    then rows): hand in a stored or cached frame when it is costly to compute.
     """
-    cut = df.withColumn("_block", F.floor(F.col(order) / block)).withColumn("_value", value)
+    place = F.col(order).cast("long")
+    cut = df.withColumns({"_block": place - F.pmod(place, F.lit(block)), "_value": value})
     sums = cut.groupBy(*keys, "_block").agg(F.sum("_value").alias("_sum"))
     before = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     starts = sums.select(
@@ -34,11 +36,7 @@ def running_total(df: DataFrame, keys: list[str], order: str, value: Column, out
 
 def assign_ids(df: DataFrame, arrival: str, after: Column | int = 0, out: str = "id",
                block: int = BLOCK) -> DataFrame:
-    """Serial ids after + 1, after + 2, … in order of `arrival` (whole and unique).
-
-    `df` is read twice (block sizes, then rows): hand in a stored or cached frame when it is
-    costly to compute.
-    """
+    """Serial ids after + 1, after + 2, … in order of `arrival` (whole and unique); see above."""
     numbered = running_total(df, [], arrival, F.lit(1), "_rank", block)
     start = after if isinstance(after, Column) else F.lit(after)
     return numbered.withColumn(out, (start + F.col("_rank")).cast("long")).drop("_rank")

@@ -13,7 +13,7 @@ from webcorpus.operators import (
     admission, analytics, comments, dedupe, extract, frontier, jobs, links, messages, numbering,
     quality)
 from webcorpus.plans import collect, fixtures as fx
-from webcorpus.session import fresh_dir
+from webcorpus.session import fresh_dir, written
 from webcorpus.sources import articles as article_io
 from webcorpus.sources import comments as comment_io
 from webcorpus.sources import messages as message_io
@@ -531,7 +531,7 @@ def _(spark, sf):
 def _(spark, sf):
     target, incoming = _half_split(spark, sf)
     fresh = dedupe.content_dedupe(incoming, "id", target).select(F.col("id").alias("arrival"))
-    return numbering.assign_ids(fresh, "arrival", dedupe.max_id(target))
+    return numbering.assign_ids(written(fresh, "fresh"), "arrival", dedupe.max_id(target))
 
 
 # ---- sort, limit, frontier ----------------------------------------------------------------------
