@@ -22,7 +22,7 @@ def seeds(spark, *numbers):
 
 
 def test_levels_cycles_and_limits(spark):
-    pages = site(spark, {0: [1, 2, "/2024/01/1.shtml", "http://evil.com/2024/01/9.shtml"], 1: [0, 3],
+    pages = site(spark, {0: [1, 2, "/2024/01/1.shtml", "http://other.example/2024/01/9.shtml"], 1: [0, 3],
                          2: [3, 2], 3: [4], 4: [5]})
     start = seeds(spark, 0, 0)
     full = [(0, SITE.format(0)), (1, SITE.format(1)), (1, SITE.format(2)), (2, SITE.format(3))]

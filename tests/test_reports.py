@@ -82,6 +82,7 @@ def test_seed_lines(spark, folder):
         "http://a.com/x", "http://b.com   # entry"]
     assert [r.url for r in seed_io.seeds_source(spark, path, " http://c.com ").collect()] == [
         "http://c.com"]
+    assert seed_io.seeds_source(spark, folder + "/none.txt").collect() == []
     hosts = seed_io.host_list(spark.createDataFrame([("a, b,,c",), (" ,a",)], "hosts string"))
     assert sorted(r.host for r in hosts.collect()) == ["a", "b", "c"]
 

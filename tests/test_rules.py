@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from webcorpus.operators import admission, quality
 from webcorpus.operators.joins import hot_keys, lookup
 
-URL = "http://news.weather.com.cn/2026/08/1.shtml"
+URL = "http://news.site.example/2026/08/1.shtml"
 
 
 def reason(spark, title="", url=URL, body="字" * 400, **options):
@@ -16,15 +16,15 @@ def reason(spark, title="", url=URL, body="字" * 400, **options):
 
 
 @pytest.mark.parametrize("item, want", [
-    ({"title": "火烧云惊艳登场-图片频道"}, "title"),
-    ({"title": "大美新疆—帕米尔高原好风光-生活"}, "title"),
-    ({"title": "韩国庆尚南道泥石流致一人死亡-资讯"}, None),
+    ({"title": "湖边晚霞-图片频道"}, "title"),
+    ({"title": "山里人家-生活"}, "title"),
+    ({"title": "桥梁抢修完成-资讯"}, None),
     ({"title": "生活-资讯"}, None),
-    ({"title": "台风视频回放"}, "title"),
-    ({"body": "热门城市\n选择省市\n" + "正文内容" * 80}, "nav"),
-    ({"url": "https://www.weather.com.cn/other/weather_error_404.html"}, "error"),
-    ({"body": "抱歉，网页无法访问" * 15}, "short"),
-    ({"title": "北京未来三天多降雨 局地大到暴雨", "body": "雨" * 417}, None),
+    ({"title": "赛事视频集"}, "title"),
+    ({"body": "热门城市\n选择省市\n" + "街上很热闹" * 80}, "nav"),
+    ({"url": "https://www.site.example/other/an_error.html"}, "error"),
+    ({"body": "这一页不见了呀" * 15}, "short"),
+    ({"title": "周末市集开张", "body": "市" * 417}, None),
     ({"title": "专题", "url": "http://error/", "body": "短"}, "title"),
     ({"url": "http://error/", "body": "热门城市"}, "error"),
     ({"body": "热门城市"}, "short"),
@@ -37,8 +37,14 @@ def test_quality_rules(spark, item, want):
     assert reason(spark, **item) == want
 
 
+def test_further_rules_come_last(spark):
+    ads = [("ads", F.col("content_md").contains("广告"))]
+    assert reason(spark, body="广告" * 200, further=ads) == "ads"
+    assert reason(spark, body="广告", further=ads) == "short"
+
+
 def judge(spark, urls, allowed, lookups=()):
-    frame = spark.createDataFrame([(u,) for u in urls], "url string")
+    frame = spark.createDataFrame([(u, "h", "i") for u in urls], "url string, host string, ip string")
     hosts = spark.createDataFrame([(h,) for h in allowed], "host string")
     table = spark.createDataFrame(list(lookups), "host string, ip string, ord int")
     judged = {r.url: r.reject_reason for r in admission.admission(frame, hosts, table).collect()}
@@ -52,11 +58,11 @@ def test_admission(spark):
                          "http://10.1.1.1/internal", "http://[::1]/"], literals) == ["ip"] * 4
     assert judge(spark, ["file:///etc/passwd", "ftp://example.com/x"], ["example.com"]) == [
         "scheme", "scheme"]
-    site = [("www.weather.com.cn", "1.2.3.4", 0), ("www.weather.com.cn", "10.0.0.1", 1),
+    site = [("www.site.example", "1.2.3.4", 0), ("www.site.example", "10.0.0.1", 1),
             ("bad.com", "10.0.0.1", 0), ("bad.com", "1.2.3.4", 1)]
-    assert judge(spark, ["https://evil.com/x", "https://WWW.weather.com.cn/news/1.html",
+    assert judge(spark, ["https://other.example/x", "https://WWW.site.example/news/1.html",
                          "https://bad.com/", "https://lost.com/"],
-                 ["www.weather.com.cn", "bad.com", "lost.com"], site) == [
+                 ["www.site.example", "bad.com", "lost.com"], site) == [
         "host", None, "ip", "unresolved"]
 
 
@@ -70,12 +76,12 @@ def test_seed_admission_strips(spark):
 
 
 def test_host_filters(spark):
-    frame = spark.createDataFrame([("http://weibo.com/a",), ("http://www.weibo.com",),
-                                   ("http://notweibo.com",), ("http://weibo.com.evil.org",)], "url string")
-    assert admission.filter_domain_suffix(frame, "weibo.com").count() == 2
-    assert admission.filter_hosts(frame, ["weibo.com"]).columns == ["url"]
-    assert admission.filter_hosts(frame, ["weibo.com"]).count() == 1
-    hosts = spark.createDataFrame([("weibo.com",), ("weibo.com",)], "host string")
+    frame = spark.createDataFrame([("http://social.example/a",), ("http://www.social.example",),
+                                   ("http://notsocial.example",), ("http://social.example.evil.org",)], "url string")
+    assert admission.filter_domain_suffix(frame, "social.example").count() == 2
+    assert admission.filter_hosts(frame, ["social.example"]).columns == ["url"]
+    assert admission.filter_hosts(frame, ["social.example"]).count() == 1
+    hosts = spark.createDataFrame([("social.example",), ("social.example",)], "host string")
     assert admission.filter_hosts(frame, hosts).count() == 1
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from webcorpus.functions.text import let, strip
+from webcorpus.functions.text import let, or_empty, strip
 
 # Named character references that are decoded.
 ENTITIES = {
@@ -105,7 +105,7 @@ def title(markup: Column) -> Column:
     """`<title>`, else the first `<h1>`, else ''."""
     head = F.regexp_extract(markup, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
     heading = F.regexp_extract(markup, r"(?is)<h1\b[^>]*>(.*?)</h1\s*>", 1)
-    return let(_plain(head), lambda t: F.when(t != "", t).otherwise(_plain(heading)))
+    return or_empty(let(_plain(head), lambda t: F.when(t != "", t).otherwise(_plain(heading))))
 
 
 def published(markup: Column) -> Column:
@@ -115,5 +115,5 @@ def published(markup: Column) -> Column:
         rf"""(?is)<meta\s(?=[^>]*\b(?:property|name|itemprop)\s*=\s*["']?(?:{DATE_NAMES})["'\s])"""
         r"""[^>]*\bcontent\s*=\s*["']([^"'>]*)""", 1)
     time = F.regexp_extract(markup, r"""(?is)<time\b[^>]*\bdatetime\s*=\s*["']([^"'>]*)""", 1)
-    return let(strip(decode_entities(meta)), lambda m: F.when(m != "", m).otherwise(
-        strip(decode_entities(time))))
+    return or_empty(let(strip(decode_entities(meta)), lambda m: F.when(m != "", m).otherwise(
+        strip(decode_entities(time)))))

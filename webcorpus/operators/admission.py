@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from webcorpus.functions import addresses, urls
 from webcorpus.functions.text import once, strip
 from webcorpus.operators.joins import lookup
-from webcorpus.settings import WEB_SCHEMES
+from webcorpus.settings import ALLOWED_HOSTS, WEB_SCHEMES
 
 
 def filter_scheme(df: DataFrame, url: str = "url") -> DataFrame:
@@ -28,12 +28,14 @@ def host_semi_join(df: DataFrame, hosts: DataFrame, host: str = "host") -> DataF
     return lookup(df, hosts.select(host).distinct(), host, "left_semi").select(df.columns)
 
 
-def filter_hosts(df: DataFrame, allowed: Sequence[str] | DataFrame, url: str = "url") -> DataFrame:
+def filter_hosts(df: DataFrame, allowed: Sequence[str] | DataFrame = ALLOWED_HOSTS,
+                 url: str = "url") -> DataFrame:
     """Rows whose host is allowed exactly; a list is a literal test, a table is a semi-join."""
-    with_host = once(df, host=urls.host_of(F.col(url)))
+    with_host = once(df, _host=urls.host_of(F.col(url)))
     if isinstance(allowed, DataFrame):
-        return host_semi_join(with_host, allowed).drop("host")
-    return with_host.filter(F.col("host").isin(list(allowed))).drop("host")
+        hosts = allowed.select(F.col("host").alias("_host"))
+        return host_semi_join(with_host, hosts, "_host").drop("_host")
+    return with_host.filter(F.col("_host").isin(list(allowed))).drop("_host")
 
 
 def first_addresses(lookups: DataFrame) -> DataFrame:
@@ -63,14 +65,14 @@ def admission(df: DataFrame, allowed: DataFrame, lookups: DataFrame,
 
     Allowlist and addresses meet in one small table first, so the URLs are joined only once.
     """
-    flags = first_addresses(lookups).withColumn("_allowed", F.lit(False)).unionByName(
-        allowed.select("host", F.lit(None).cast("string").alias("ip"), F.lit(True).alias("_allowed")))
-    per_host = flags.groupBy("host").agg(
-        F.max("ip").alias("ip"), F.bool_or("_allowed").alias("_allowed"))
-    parts = once(df, _scheme=urls.scheme_of(F.col(url)), host=urls.host_of(F.col(url)))
-    joined = lookup(parts, per_host, "host")
-    literal = addresses.is_ipv4(F.col("host")) | F.col("host").contains(":")
-    ip = F.when(literal, F.col("host")).otherwise(F.col("ip"))
+    flags = first_addresses(lookups).withColumn("ok", F.lit(False)).unionByName(
+        allowed.select("host", F.lit(None).cast("string").alias("ip"), F.lit(True).alias("ok")))
+    per_host = flags.groupBy(F.col("host").alias("_host")).agg(
+        F.max("ip").alias("_ip"), F.bool_or("ok").alias("_allowed"))
+    parts = once(df, _scheme=urls.scheme_of(F.col(url)), _host=urls.host_of(F.col(url)))
+    joined = lookup(parts, per_host, "_host")
+    literal = addresses.is_ipv4(F.col("_host")) | F.col("_host").contains(":")
+    ip = F.when(literal, F.col("_host")).otherwise(F.col("_ip"))
     reason = _reason(
         ("scheme", ~F.col("_scheme").isin(WEB_SCHEMES)),
         ("host", ~F.coalesce(F.col("_allowed"), F.lit(False))),
@@ -83,11 +85,11 @@ def admission(df: DataFrame, allowed: DataFrame, lookups: DataFrame,
 def seed_admission(df: DataFrame, allowed: DataFrame, url: str = "url") -> DataFrame:
     """Check submitted entry URLs: stripped `url`, and `reject_reason` scheme or host."""
     stripped = df.withColumn(url, strip(F.col(url)))
-    parts = once(stripped, _scheme=urls.scheme_of(F.col(url)), host=urls.host_of(F.col(url)))
-    flags = allowed.select("host").distinct().withColumn("_allowed", F.lit(True))
+    parts = once(stripped, _scheme=urls.scheme_of(F.col(url)), _host=urls.host_of(F.col(url)))
+    flags = allowed.select(F.col("host").alias("_host")).distinct().withColumn("_allowed", F.lit(True))
     reason = _reason(
         ("scheme", ~F.col("_scheme").isin(WEB_SCHEMES)),
         ("host", ~F.coalesce(F.col("_allowed"), F.lit(False))),
     )
-    return (lookup(parts, flags, "host").withColumn("reject_reason", reason)
+    return (lookup(parts, flags, "_host").withColumn("reject_reason", reason)
             .select(*df.columns, "reject_reason"))

@@ -13,11 +13,14 @@ from webcorpus.functions.text import contains_any, ends_with_any
 
 @dataclass(frozen=True)
 class QualityRules:
+    """Word lists and limits of the built-in rules; `further` adds (reason, test) pairs after them."""
+
     min_chars: int = settings.QUALITY_MIN_CHARS
     title_words: list[str] = field(default_factory=lambda: settings.TITLE_WORDS)
     title_suffixes: list[str] = field(default_factory=lambda: settings.TITLE_SUFFIXES)
     nav_markers: list[str] = field(default_factory=lambda: settings.NAV_MARKERS)
     error_word: str = settings.ERROR_WORD
+    further: list[tuple[str, Column]] = field(default_factory=list)
 
     def bad_title(self) -> Column:
         title = F.col("title")
@@ -35,7 +38,7 @@ class QualityRules:
     def ordered(self) -> list[tuple[str, Column]]:
         """(reason, test) in the order in which they are tried."""
         return [("title", self.bad_title()), ("error", self.error_page()),
-                ("short", self.too_short()), ("nav", self.navigation())]
+                ("short", self.too_short()), ("nav", self.navigation()), *self.further]
 
     def reason(self) -> Column:
         return F.coalesce(*[F.when(test, F.lit(reason)) for reason, test in self.ordered()])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,13 @@ from webcorpus.sources.comments import (
     comments_sink, load_progress, save_progress, seen_comment_ids)
 
 
+def run_stages(df: DataFrame, stages: dict[Callable[[DataFrame], DataFrame], int]) -> DataFrame:
+    """Pass a frame through stages in ascending order of their numbers."""
+    for stage in sorted(stages, key=stages.__getitem__):
+        df = df.transform(stage)
+    return df
+
+
 def good_articles(pages: DataFrame, rules: QualityRules | None = None) -> DataFrame:
     """Unique articles of good quality; quality comes first, so dropped pages claim no content."""
     return content_dedupe(quality_filter(build_articles(pages), rules), "page_id")

@@ -71,7 +71,7 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
 
 def link_pages(spark: SparkSession, sf: str) -> DataFrame:
     """D2: one page per stored page; its article links lead to three others. Even pages hold text."""
-    src = pages(spark, sf).select("page_id", F.col("url").alias("text"))
+    src = spread(pages(spark, sf).select("page_id", F.col("url").alias("text")))
     n = src.agg(F.count("*")).scalar()
     page = F.col("page_id")
 
