@@ -21,7 +21,7 @@ _ENTITY_MAP = "map({})".format(", ".join(
 # Tags that start or end a block of text, and tags that hold no article text.
 BLOCK_TAGS = ("p|div|section|article|main|body|br|hr|ul|ol|dl|dt|dd|table|tbody|thead|tr|td|th|"
               "blockquote|pre|figure|figcaption|h[1-6]|li|address|details|summary")
-ASIDE_TAGS = "nav|header|footer|aside|form"
+ASIDE_TAGS = ["nav", "header", "footer", "aside", "form"]
 
 # Names under which a page states its date of publication.
 DATE_NAMES = ("article:published_time|datePublished|og:published_time|pubdate|publishdate|"
@@ -31,6 +31,7 @@ DATE_NAMES = ("article:published_time|datePublished|og:published_time|pubdate|pu
 # match linear on broken pages.
 _HIDDEN = (r"(?is)<!--.*?(?:-->|\z)"
            r"|<(script|style|noscript)\b[^>]*>.*?(?:</\1\s*>|\z)")
+_TAG = r"<[A-Za-z/!?][^>]*(?:>|\z)"
 _HREF = r"""(?is)<a\s(?:[^<>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
 
@@ -71,22 +72,54 @@ def hrefs(markup: Column) -> Column:
         F.regexp_replace(h, r"""^["']|["']\z""", "")))
 
 
+def _first(markup: Column, opening: str, rest: str) -> Column:
+    """Array of what `rest` captures after the first match of `opening`, if any.
+
+    Anchored and atomic: a page full of openings without an end is still read once.
+    """
+    return F.regexp_extract_all(
+        markup, F.lit(rf"(?is)\A(?>.*?{opening}){rest}"), F.lit(1))
+
+
 def _element(markup: Column, tag: str) -> Column:
-    """From the first opening tag to the last closing tag; NULL when there is no such element."""
-    return F.get(F.regexp_extract_all(
-        markup, F.lit(rf"(?is)<{tag}\b[^>]*>.*</{tag}\s*>"), F.lit(0)), 0)
+    """What follows the first opening tag, up to the last closing tag; NULL when there is none."""
+    return F.get(_first(markup, rf"<{tag}\b[^>]*>", rf"(.*</{tag}\s*>)"), 0)
+
+
+# Longest text whose asides are cut by one pattern; its worst case is quadratic.
+_SHORT = 1 << 16
+
+
+def _without_asides(text: Column) -> Column:
+    """Drop every aside element, from its opening to the first closing of its name."""
+    pattern = rf"(?is)<({'|'.join(ASIDE_TAGS)})\b[^>]*>.*?</\1\s*>"
+
+    def cut(t: Column, tag: str) -> Column:
+        # Cut behind every closing tag; what a piece holds from its first opening tag on, goes.
+        pieces = F.split(t, rf"(?i)(?<=</{tag}\s{{0,9}}>)")
+        opened = rf"(?is)\A(?>(.*?)<{tag}\b[^>]*>).*</{tag}\s*>\z"
+        return F.array_join(F.transform(pieces, lambda p: F.regexp_replace(p, opened, "$1")), "")
+
+    def long(t: Column) -> Column:
+        for tag in ASIDE_TAGS:
+            t = cut(t, tag)
+        return t
+
+    return let(text, lambda t: F.when(
+        F.length(t) <= _SHORT, F.regexp_replace(t, pattern, "")).otherwise(long(t)))
 
 
 def markdown(markup: Column) -> Column:
     """Main text of visible markup as Markdown."""
     text = F.coalesce(*[_element(markup, tag) for tag in ("article", "main", "body")], markup)
-    text = F.regexp_replace(text, rf"(?is)<({ASIDE_TAGS})\b[^>]*>.*?</\1\s*>", "")
-    text = F.regexp_replace(text, r"(?i)<h([1-6])\b[^>]*>", "\n\n\x01$1")
+    text = _without_asides(text)
+    # A tag that is never closed runs to the end of the page.
+    text = F.regexp_replace(text, r"(?i)<h([1-6])\b[^>]*(?:>|\z)", "\n\n\x01$1")
     for level in range(1, 7):
         text = F.replace(text, F.lit(f"\x01{level}"), F.lit("#" * level + " "))
-    text = F.regexp_replace(text, r"(?i)<li\b[^>]*>", "\n- ")
-    text = F.regexp_replace(text, rf"(?i)</?(?:{BLOCK_TAGS})\b[^>]*>", "\n\n")
-    text = F.regexp_replace(text, r"<[A-Za-z/!?][^>]*>", "")
+    text = F.regexp_replace(text, r"(?i)<li\b[^>]*(?:>|\z)", "\n- ")
+    text = F.regexp_replace(text, rf"(?i)</?(?:{BLOCK_TAGS})\b[^>]*(?:>|\z)", "\n\n")
+    text = F.regexp_replace(text, _TAG, "")
     text = decode_entities(text)
     # Patterns that match little are much cheaper than one that matches every blank.
     text = F.regexp_replace(text, r"[\t\r\f\x0b\u00a0]", " ")
@@ -97,14 +130,17 @@ def markdown(markup: Column) -> Column:
 
 
 def _plain(fragment: Column) -> Column:
-    bare = decode_entities(F.regexp_replace(fragment, r"<[A-Za-z/!?][^>]*>", ""))
+    bare = decode_entities(F.regexp_replace(fragment, _TAG, ""))
     return strip(F.regexp_replace(bare, r"(?U)\s+", " "))
 
 
 def title(markup: Column) -> Column:
     """`<title>`, else the first `<h1>`, else ''."""
-    head = F.regexp_extract(markup, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
-    heading = F.regexp_extract(markup, r"(?is)<h1\b[^>]*>(.*?)</h1\s*>", 1)
+    def inner(tag: str) -> Column:
+        found = _first(markup, rf"<{tag}\b[^>]*>", rf"(.*?)</{tag}\s*>")
+        return F.coalesce(F.get(found, 0), F.lit(""))
+
+    head, heading = inner("title"), inner("h1")
     return or_empty(let(_plain(head), lambda t: F.when(t != "", t).otherwise(_plain(heading))))
 
 
@@ -112,8 +148,8 @@ def published(markup: Column) -> Column:
     """Date of publication as the page spells it: meta tag, else `<time datetime>`, else ''."""
     meta = F.regexp_extract(
         markup,
-        rf"""(?is)<meta\s(?=[^>]*\b(?:property|name|itemprop)\s*=\s*["']?(?:{DATE_NAMES})["'\s])"""
-        r"""[^>]*\bcontent\s*=\s*["']([^"'>]*)""", 1)
-    time = F.regexp_extract(markup, r"""(?is)<time\b[^>]*\bdatetime\s*=\s*["']([^"'>]*)""", 1)
+        rf"""(?is)<meta\s(?=[^<>]*\b(?:property|name|itemprop)\s*=\s*["']?(?:{DATE_NAMES})["'\s])"""
+        r"""[^<>]*\bcontent\s*=\s*["']([^"'>]*)""", 1)
+    time = F.regexp_extract(markup, r"""(?is)<time\b[^<>]*\bdatetime\s*=\s*["']([^"'>]*)""", 1)
     return or_empty(let(strip(decode_entities(meta)), lambda m: F.when(m != "", m).otherwise(
         strip(decode_entities(time)))))

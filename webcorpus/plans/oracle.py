@@ -86,10 +86,10 @@ def _markdown(markup: str) -> str:
     for tag in ("nav", "header", "footer", "aside", "form"):
         out = _sub(out, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>")
     for level in range(1, 7):
-        out = _sub(out, rf"(?i)<h{level}\b[^>]*>", f"chr(10) || chr(10) || '{'#' * level} '")
-    out = _sub(out, r"(?i)<li\b[^>]*>", "chr(10) || '- '")
-    out = _sub(out, rf"(?i)</?(?:{BLOCK_TAGS})\b[^>]*>", "chr(10) || chr(10)")
-    out = _entities(_sub(out, r"<[A-Za-z/!?][^>]*>"))
+        out = _sub(out, rf"(?i)<h{level}\b[^>]*(?:>|\z)", f"chr(10) || chr(10) || '{'#' * level} '")
+    out = _sub(out, r"(?i)<li\b[^>]*(?:>|\z)", "chr(10) || '- '")
+    out = _sub(out, rf"(?i)</?(?:{BLOCK_TAGS})\b[^>]*(?:>|\z)", "chr(10) || chr(10)")
+    out = _entities(_sub(out, r"<[A-Za-z/!?][^>]*(?:>|\z)"))
     out = _sub(out, r"[ \t\r\f\v\x{a0}]+", "' '")
     out = _sub(_sub(out, r" ?\n ?", "chr(10)"), r"\n{3,}", "chr(10) || chr(10)")
     return f"trim({out}, chr(10) || ' ')"
@@ -101,7 +101,7 @@ _BLANK = "' '"
 def _title(markup: str) -> str:
     def plain(tag: str) -> str:
         inner = rf"regexp_extract({markup}, '(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>', 1)"
-        bare = _entities(_sub(inner, "<[A-Za-z/!?][^>]*>"))
+        bare = _entities(_sub(inner, r"<[A-Za-z/!?][^>]*(?:>|\z)"))
         return f"trim({_sub(bare, '[[:space:]]+', to=_BLANK)})"
     return f"coalesce(nullif({plain('title')}, ''), {plain('h1')})"
 
