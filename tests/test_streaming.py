@@ -1,6 +1,4 @@
-from pyspark.sql import functions as F
-
-from webcorpus import schemas
+from webcorpus import schemas, settings
 from webcorpus.operators import analytics
 from webcorpus.operators.messages import article_messages
 from webcorpus.plans import collect, fixtures as fx
@@ -77,5 +75,4 @@ def test_stats_equal_the_batch_reports(spark, folder):
 
 
 def test_default_refresh_interval():
-    from webcorpus import settings
-    assert settings.STATS_INTERVAL == "15 seconds" and F is not None
+    assert settings.STATS_INTERVAL == "15 seconds"
