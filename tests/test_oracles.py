@@ -8,9 +8,11 @@ import __spark_entry__ as entry
 import compare
 from webcorpus.operators import analytics
 from webcorpus.plans import fixtures as fx
+from webcorpus.plans import oracle
+from webcorpus.plans import queries as plans
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = plans.all_queries(), oracle.all_sql()
 
 
 @pytest.fixture(scope="module")
