@@ -6,24 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webcorpus.llm import line_dedup, mixing, simhash, token_counts
+from webcorpus.llm import fertility, line_dedup, mixing, simhash, token_counts
 from webcorpus.llm.common import docs
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer(name: str) -> str:
     import public_tokenizers
 
     return str(public_tokenizers.path(name))
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(docs(spark, sf_dir), _tokenizer("word_bpe_49k.json"))
+    return token_counts.token_counts(docs(spark, sf_dir), tokenizer("word_bpe_49k.json"))
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs(spark, sf_dir))
 
 
+def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.quality(docs(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(docs(spark, sf_dir)).select("doc_id", "text", "n_removed")
 
