@@ -78,6 +78,7 @@ def line_dedup(documents: DataFrame) -> DataFrame:
 
     Hot windows are never gathered: counting them combines before the shuffle, and the join that
     finds their later places is between two stored tables, which adaptive execution can split.
+    The texts meet their covered lines by a merge join at every size, which grows in proportion.
     """
     key = documents.select("doc_id", F.xxhash64("text").alias("th"), _windows(F.col("text")).alias("w"))
     places = key.select("doc_id", "th", F.inline("w"))
@@ -90,7 +91,7 @@ def line_dedup(documents: DataFrame) -> DataFrame:
     covered = written(later.select("place.doc_id", "place.th", "place.at").groupBy("doc_id", "th")
                       .agg(F.sort_array(F.collect_set("at")).alias("starts")), "covered")
     joined = documents.alias("d").join(
-        covered.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id"))
+        covered.hint("shuffle_merge").alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id"))
         & (F.xxhash64("d.text") == F.col("c.th")), "left")
     changed = once(joined.select("d.*", F.col("c.starts").alias("_starts")), _text=F.when(
         F.col("_starts").isNull(), F.col("text")).otherwise(
