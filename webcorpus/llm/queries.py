@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webcorpus.llm import fertility, line_dedup, mixing, simhash, token_counts
+from webcorpus.llm import decontaminate, fertility, line_dedup, mixing, perspectives, simhash
+from webcorpus.llm import token_counts
 from webcorpus.llm.common import docs
 
 
@@ -16,6 +17,10 @@ def tokenizer(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs(spark, sf_dir), tokenizer("word_bpe_49k.json"))
 
@@ -28,6 +33,11 @@ def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality(docs(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(docs(spark, sf_dir),
+                                      spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(docs(spark, sf_dir)).select("doc_id", "text", "n_removed")
 
@@ -41,4 +51,5 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_sql() -> dict[str, str]:
-    return {"op3_mix_sources": mixing.SQL, "op7_line_dedup": line_dedup.SQL}
+    return {"op1_perspectives": perspectives.SQL, "op3_mix_sources": mixing.SQL,
+            "op7_line_dedup": line_dedup.SQL}
