@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from webcorpus.session import written
 
@@ -63,5 +67,31 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
-def docs(spark, sf_dir: str) -> DataFrame:
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the Python workers of every executor, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = os.path.join(tempfile.mkdtemp(prefix="run-"), "webcorpus.zip")  # the driver serves it
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as packed:
+        for folder, _, names in os.walk(os.path.join(top, "webcorpus")):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    packed.write(full, os.path.relpath(full, top))
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
+def map_batches(df: DataFrame, task: Callable, schema: str | StructType) -> DataFrame:
+    """mapInArrow with a task that may import this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(task, schema)
+
+
+def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

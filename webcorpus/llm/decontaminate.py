@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webcorpus.llm.common import pieces
+from webcorpus.llm.common import map_batches, pieces
 from webcorpus.session import written
 
 Q = 12
@@ -205,7 +205,7 @@ def _matched(documents: DataFrame, block: list[tuple[int, str]], q: int, edits:
                     "item_id": pa.array(item, pa.int64()), "begin": pa.array(begin, pa.int64()),
                     "end": pa.array(end, pa.int64()), "edits": pa.array(off, pa.int64())})
 
-    return documents.mapInArrow(scan, f"{kind}, item_id long, begin long, end long, edits long")
+    return map_batches(documents, scan, f"{kind}, item_id long, begin long, end long, edits long")
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, q: int = Q, edits: float = EDITS,

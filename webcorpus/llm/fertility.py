@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from webcorpus.llm.common import pieces
+from webcorpus.llm.common import map_batches, pieces
 from webcorpus.session import written
 
 SYMBOLS = "#*$%&|<>"
@@ -198,7 +198,8 @@ def figures(rows: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*own.columns, f], [*own.schema.names, "f"])
 
     kinds = ", ".join(f"{c.name} {c.dataType.simpleString()}" for c in rows.schema)
-    return rows.mapInArrow(add, f"{kinds}, f struct<{FIGURES.replace(' ', ':').replace(',:', ', ')}>")
+    own = FIGURES.replace(" ", ":").replace(",:", ", ")
+    return map_batches(rows, add, f"{kinds}, f struct<{own}>")
 
 
 def _base_failed() -> Column:
@@ -233,8 +234,8 @@ def corpus_bands(measured: DataFrame) -> DataFrame:
         counts = written(usable.groupBy(*keys, F.round(F.col(f"f.{figure}") / step).cast("long")
                                         .alias("v")).agg(F.count("*").alias("n")), "counts")
         middle = _median(counts, "v", keys, "mid").filter(F.col("documents") >= FEWEST)
-        off = counts.join(middle.select(*keys, "mid"), keys).withColumn("off", F.abs(F.col("v") - F.col("mid"))) \
-            .groupBy(*keys, "mid", "off").agg(F.sum("n").alias("n"))
+        away = F.abs(F.col("v") - F.col("mid"))
+        off = counts.join(middle.select(*keys, "mid"), keys).withColumn("off", away).groupBy(*keys, "mid", "off").agg(F.sum("n").alias("n"))
         spread = _median(off, "off", [*keys, "mid"], "mad")
         # 1.4826 makes the median deviation that of a normal distribution; a step is the least.
         scale = 1.4826 * F.greatest(F.col("mad"), F.lit(1)) * step

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webcorpus.llm import decontaminate, fertility, line_dedup, mixing, perspectives, simhash
-from webcorpus.llm import token_counts
+from webcorpus.llm import classifier, decontaminate, fertility, line_dedup, mixing, perspectives
+from webcorpus.llm import simhash, token_counts, toxicity, wrappers
 from webcorpus.llm.common import docs
 
 
@@ -38,6 +38,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op6_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(docs(spark, sf_dir)).select("doc_id", "text", "n_removed")
 
@@ -46,6 +50,14 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(docs(spark, sf_dir))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: value for name, value in globals().items() if name.startswith("op")}
 

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webcorpus.llm.common import pieces
+from webcorpus.llm.common import map_batches, pieces
 from webcorpus.llm.components import components
 from webcorpus.session import written
 
@@ -55,7 +55,7 @@ def fingerprints(documents: DataFrame, width: int = 3) -> DataFrame:
                 "fp": pa.array(np.array(fps, dtype=np.uint64).view(np.int64))})
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(make, f"doc_id {kind}, fp long")
+    return map_batches(documents.select("doc_id", "text"), make, f"doc_id {kind}, fp long")
 
 
 def _signed(mask: int) -> int:

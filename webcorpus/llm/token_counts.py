@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from webcorpus.llm.common import pieces
+from webcorpus.llm.common import map_batches, pieces
 
 # Characters of a chunk and of the first overlap; texts above one chunk are spliced.
 CHUNK = 1 << 15
@@ -143,5 +143,5 @@ def token_counts(documents: DataFrame, path: str, limit: int = 2048, chunk: int
                 "n_tokens": pa.array(n), "over_limit": pa.array(n > limit)})
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(
-        count, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return map_batches(documents.select("doc_id", "text"), count,
+                       f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
