@@ -96,7 +96,8 @@ def _spread(groups: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     total = np.bincount(groups, minlength=n).astype(float)
     of = g[starts]
     share = counts / total[of]
-    return np.bincount(of, weights=-share * np.log2(share), minlength=n)
+    # Without any value bincount() gives whole numbers.
+    return np.bincount(of, weights=-share * np.log2(share), minlength=n).astype(float)
 
 
 def _repeated(groups: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
