@@ -105,3 +105,13 @@ def test_collection_resumes_where_it_stopped(spark, folder, fmt):
     ids = [r.id for r in io.comments_source(spark, store, fmt).collect()]
     assert len(ids) == len(set(ids)) == 26
     assert all(r.done for r in io.load_progress(spark, progress).collect())
+
+
+def test_progress_stops_before_a_gap(spark):
+    feed_ = docs(spark, *[("p", n, {"data": [], "max_id": 0 if n == 5 else 10 + n}) for n in (1, 2, 4, 5)],
+                 ("q", 3, {"data": [], "max_id": 0}))
+    got = {r.post: (r.page, r.max_id, r.done) for r in comments.comment_progress(feed_).collect()}
+    assert got == {"p": (2, 12, False)}
+    start = spark.createDataFrame([("p", 3), ("q", 1)], "post string, page long")
+    got = {r.post: (r.page, r.max_id, r.done) for r in comments.comment_progress(feed_, start).collect()}
+    assert got == {"p": (5, 0, True)}

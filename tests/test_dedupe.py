@@ -15,11 +15,10 @@ def kept(frame):
     return sorted((r.id, r.content_fp) for r in frame.collect())
 
 
-def test_first_passes_second_drops(spark):
-    frame = items(spark, [(1, "fp-1"), (2, "fp-1"), (3, "fp-2")])
-    assert kept(dedupe.content_dedupe(frame)) == [(1, "fp-1"), (3, "fp-2")]
-    known = items(spark, [(0, "fp-2")])
-    assert kept(dedupe.content_dedupe(frame, known=known)) == [(1, "fp-1")]
+def test_earliest_row_of_a_body_stays(spark):
+    frame = items(spark, [(4, "oak"), (9, "elm"), (7, "oak"), (5, "fir"), (8, "elm")])
+    assert kept(dedupe.content_dedupe(frame)) == [(4, "oak"), (5, "fir"), (8, "elm")]
+    assert kept(dedupe.content_dedupe(frame, known=items(spark, [(2, "oak")]))) == [(5, "fir"), (8, "elm")]
 
 
 def test_order_does_not_matter_and_twice_is_once(spark):

@@ -53,10 +53,10 @@ def judge(spark, urls, allowed, lookups=()):
 
 
 def test_admission(spark):
-    literals = ["127.0.0.1", "192.168.1.1", "10.1.1.1", "::1"]
-    assert judge(spark, ["http://127.0.0.1:8000/x", "http://192.168.1.1/admin",
-                         "http://10.1.1.1/internal", "http://[::1]/"], literals) == ["ip"] * 4
-    assert judge(spark, ["file:///etc/passwd", "ftp://example.com/x"], ["example.com"]) == [
+    literals = ["127.8.9.1", "192.168.77.5", "10.20.30.40", "::1"]
+    assert judge(spark, ["http://127.8.9.1/a", "https://192.168.77.5:444/b",
+                         "http://10.20.30.40/c?d=1", "http://[::1]:81/e"], literals) == ["ip"] * 4
+    assert judge(spark, ["file:///srv/notes.txt", "gopher://files.example/pub"], ["files.example"]) == [
         "scheme", "scheme"]
     site = [("www.site.example", "1.2.3.4", 0), ("www.site.example", "10.0.0.1", 1),
             ("bad.com", "10.0.0.1", 0), ("bad.com", "1.2.3.4", 1)]
@@ -116,3 +116,12 @@ def test_admission_without_broadcast(spark, any_size):
                 [f"h{i}.com" for i in range(1500) if i % 3], site)
     assert got == ["host" if not i % 3 else "unresolved" if not i % 5 else None if i % 2 else "ip"
                    for i in range(1500)]
+
+
+def test_a_host_looked_up_twice_counts_once_and_by_a_blocked_address(spark):
+    table = spark.createDataFrame([("h", "8.8.8.8", 0), ("h", "10.0.0.9", 0), ("h", "1.1.1.1", 1),
+                                   ("i", "9.9.9.9", 0), ("i", "9.9.9.9", 0), ("j", None, 0)],
+                                  "host string, ip string, ord int")
+    got = {tuple(r) for r in admission.first_addresses(table).collect()}
+    assert got == {("h", "10.0.0.9"), ("i", "9.9.9.9")}
+    assert admission.first_addresses(table).count() == 2

@@ -86,27 +86,20 @@ def _element(markup: Column, tag: str) -> Column:
     return F.get(_first(markup, rf"<{tag}\b[^>]*>", rf"(.*</{tag}\s*>)"), 0)
 
 
-# Longest text whose asides are cut by one pattern; its worst case is quadratic.
-_SHORT = 1 << 16
-
-
 def _without_asides(text: Column) -> Column:
-    """Drop every aside element, from its opening to the first closing of its name."""
-    pattern = rf"(?is)<({'|'.join(ASIDE_TAGS)})\b[^>]*>.*?</\1\s*>"
+    """Drop every aside element, tag by tag, from its opening to the first closing of its name.
 
+    One linear rule for texts of every length.
+    """
     def cut(t: Column, tag: str) -> Column:
         # Cut behind every closing tag; what a piece holds from its first opening tag on, goes.
-        pieces = F.split(t, rf"(?i)(?<=</{tag}\s{{0,9}}>)")
-        opened = rf"(?is)\A(?>(.*?)<{tag}\b[^>]*>).*</{tag}\s*>\z"
+        pieces = F.split(F.regexp_replace(t, rf"(?i)</{tag}\s+>", f"</{tag}>"), rf"(?i)(?<=</{tag}>)")
+        opened = rf"(?is)\A(?>(.*?)<{tag}\b[^>]*>).*</{tag}>\z"
         return F.array_join(F.transform(pieces, lambda p: F.regexp_replace(p, opened, "$1")), "")
 
-    def long(t: Column) -> Column:
-        for tag in ASIDE_TAGS:
-            t = cut(t, tag)
-        return t
-
-    return let(text, lambda t: F.when(
-        F.length(t) <= _SHORT, F.regexp_replace(t, pattern, "")).otherwise(long(t)))
+    for tag in ASIDE_TAGS:
+        text = cut(text, tag)
+    return text
 
 
 def markdown(markup: Column) -> Column:

@@ -39,8 +39,14 @@ def filter_hosts(df: DataFrame, allowed: Sequence[str] | DataFrame = ALLOWED_HOS
 
 
 def first_addresses(lookups: DataFrame) -> DataFrame:
-    """(host, ip): the first address of each host in a stored (host, ip, ord) table."""
-    return lookups.filter(F.col("ord") == 0).select("host", "ip")
+    """(host, ip): one first address per host of a stored (host, ip, ord) table.
+
+    A host that was looked up several times counts by a blocked address if it ever had one, else by
+    the smallest as text, so that a repeated lookup can neither multiply rows nor unblock a host.
+    """
+    first = lookups.filter((F.col("ord") == 0) & F.col("ip").isNotNull())
+    worst = F.min(F.struct(~addresses.is_blocked(F.col("ip")), F.col("ip").alias("ip")))
+    return first.groupBy("host").agg(worst["ip"].alias("ip"))
 
 
 def resolve_hosts(df: DataFrame, lookups: DataFrame) -> DataFrame:

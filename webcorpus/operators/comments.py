@@ -69,11 +69,28 @@ def page_cap(pages: DataFrame, cap: int = settings.PAGES_PER_POST) -> DataFrame:
     return pages.filter(F.col("page") <= cap)
 
 
-def comment_progress(pages: DataFrame) -> DataFrame:
-    """Per post: last page, its continuation token, and whether the post is complete."""
-    last = next_page_token(pages).groupBy("post").agg(
-        F.max_by("next_max_id", "page").alias("max_id"), F.max("page").alias("page"))
-    return last.withColumn("done", F.col("max_id") == 0)
+def comment_progress(pages: DataFrame, start: DataFrame | None = None) -> DataFrame:
+    """Per post: last page of the unbroken run, its continuation token, and whether it is the end.
+
+    The run begins behind the page that `start` (post, page) gives, or at page 1. Pages beyond a gap
+    do not count, so that what is missing is not passed over; a post without its next page has no
+    row. The run's end is the lowest page without a successor: no group is sorted.
+    """
+    tokens = next_page_token(pages).groupBy("post", "page").agg(F.max("next_max_id").alias("max_id"))
+    origin = tokens.select("post", F.lit(0).cast("long").alias("page")).distinct()
+    if start is not None:
+        given = start.select("post", F.col("page").alias("_from"))
+        origin = origin.join(given, "post", "left").select(
+            "post", F.coalesce("_from", "page").cast("long").alias("page"))
+    every = tokens.select("post", "page").union(origin)
+    before = tokens.select("post", (F.col("page") - 1).alias("page"))
+    ends = every.join(before, ["post", "page"], "left_anti").groupBy("post").agg(F.min("page").alias("page"))
+    if start is not None:  # a page behind the start may lack its successor
+        ends = every.join(before, ["post", "page"], "left_anti").join(
+            origin.withColumnRenamed("page", "_from"), "post").filter("page >= _from") \
+            .groupBy("post").agg(F.min("page").alias("page"))
+    return tokens.join(ends, ["post", "page"]).select("post", "max_id", "page") \
+        .withColumn("done", F.col("max_id") == 0)
 
 
 def pending_posts(posts: DataFrame, progress: DataFrame) -> DataFrame:

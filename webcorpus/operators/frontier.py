@@ -61,11 +61,11 @@ def frontier_budget(frontier: DataFrame, pages: DataFrame,
     """The visits made before a budget runs out, in order of (depth, url_fp).
 
     `items_of` turns visited pages into items; the visit that fills the item budget is the last.
-    Broadcast and window hold at most `page_budget` rows, and only visited pages are extracted.
+    The window holds at most `page_budget` rows, and only visited pages are extracted.
     """
     visits = frontier.orderBy("depth", "url_fp").limit(page_budget)
     keyed = once(pages, url_fp=urls.fingerprint(F.col("url")))
-    visited = keyed.join(F.broadcast(visits.select("url_fp")), "url_fp", "left_semi")
+    visited = keyed.join(visits.select("url_fp"), "url_fp", "left_semi")
     items = items_of(visited.select(pages.columns)).select("url_fp").distinct()
     before = W.orderBy("depth", "url_fp").rowsBetween(W.unboundedPreceding, -1)
     counted = visits.join(items.withColumn("_item", F.lit(1)), "url_fp", "left").withColumn(

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcorpus import settings
 from webcorpus.operators import analytics, comments as ops
 from webcorpus.operators.dedupe import content_dedupe
 from webcorpus.operators.extract import build_articles
@@ -46,7 +45,7 @@ def ingest_pages(pages: DataFrame, store: str, rules: QualityRules | None = None
 
 
 def collect_comments(spark: SparkSession, posts: DataFrame, pages: DataFrame, store: str,
-                     progress_path: str, cap: int = settings.PAGES_PER_POST,
+                     progress_path: str, cap: int | None = None,
                      fmt: str = "csv") -> None:
     """Store the new comments of all pages not done yet and move the progress on.
 
@@ -56,7 +55,8 @@ def collect_comments(spark: SparkSession, posts: DataFrame, pages: DataFrame, st
     progress = load_progress(spark, progress_path)
     todo = ops.pending_posts(posts, progress).select("post", F.col("page").alias("_from"))
     left = lookup(pages, todo, "post", "inner").filter(F.col("page") > F.col("_from"))
-    fresh = written(ops.page_cap(left, cap).select(pages.columns), "pages")
+    chosen = left if cap is None else ops.page_cap(left, cap)
+    fresh = written(chosen.select(pages.columns), "pages")
     new = ops.comment_dedupe(ops.flatten_comments(fresh), seen_comment_ids(spark, store, fmt))
     comments_sink(new, store, fmt)
-    save_progress(ops.comment_progress(fresh).select(PROGRESS.fieldNames()), progress_path)
+    save_progress(ops.comment_progress(fresh, todo.withColumnRenamed("_from", "page")).select(PROGRESS.fieldNames()), progress_path)
