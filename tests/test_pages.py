@@ -50,6 +50,23 @@ def test_href_spellings(spark):
     assert [r.href for r in links.extract_links(page).collect()] == ["/a?x=1&y=2", "/b", "", "/c"]
 
 
+def test_links_in_difficult_tags(spark):
+    page = pages(spark, ("http://h/", """<div title="<!-- "><a title="1 > 0" href="/gt">a</a>
+      <a title='x<y' href="/lt">b</a><a title="see href=/no" href="/own">c</a><a class="x"href="/glued">d</a>
+      <noscript><a href="/plain">e</a></noscript><i title="<a href='/no'>">f</i><!-- <a href="/no"> -->
+      <script>'<a href="/no">'</script><a href>g</a><article href="/no"></article><a
+      href = /bare?q=1/>h</a><a href="/last" title="open>"""))
+    got = [r.href for r in links.extract_links(page).collect()]
+    assert got == ["/gt", "/lt", "/own", "/glued", "/plain", "/bare?q=1/", "/last"]
+
+
+def test_named_references_and_quoted_brackets(spark):
+    page = pages(spark, ("http://h/", "<title>Caf&eacute; &lt;b&gt;</title><body><img alt='a>b'>M&uuml;ller "
+                         "<nav title='a>b'>x</nav>&rarr; &szlig; &Omega; &apos; &nosuch; &amp;eacute; AT&T</body>"))
+    article = extract.extract_text(page).first()
+    assert article.content_md == "Müller → ß Ω ' &nosuch; &eacute; AT&T"
+
+
 def test_text_regions_and_blocks(spark):
     def text(markup):
         return extract.extract_text(pages(spark, ("http://h/", markup))).first().content_md

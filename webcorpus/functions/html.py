@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from webcorpus.functions.text import let, or_empty, strip
 
-# Named character references that are decoded.
-ENTITIES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "©",
-    "reg": "®", "middot": "·", "bull": "•", "hellip": "…", "mdash": "—", "ndash": "–",
-    "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»",
-    "times": "×", "deg": "°", "euro": "€", "trade": "™",
-}
+# The named character references of HTML 4, and the one that XML adds.
+ENTITIES = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
 
 _ENTITY_MAP = "map({})".format(", ".join(
     "'{}', '{}'".format(name, char.replace("'", "\\'")) for name, char in ENTITIES.items()))
@@ -27,17 +24,37 @@ ASIDE_TAGS = ["nav", "header", "footer", "aside", "form"]
 DATE_NAMES = ("article:published_time|datePublished|og:published_time|pubdate|publishdate|"
               "publish_date|publish-date|date|dc.date|dc.date.issued|dcterms.date")
 
-# An unclosed comment or script runs to the end of the page, as in a browser; this also keeps the
-# match linear on broken pages.
-_HIDDEN = (r"(?is)<!--.*?(?:-->|\z)"
-           r"|<(script|style|noscript)\b[^>]*>.*?(?:</\1\s*>|\z)")
-_TAG = r"<[A-Za-z/!?][^>]*(?:>|\z)"
-_HREF = r"""(?is)<a\s(?:[^<>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+# The rest of a tag up to its end: a quote that opens a value hides what stands inside it. Possessive
+# throughout, so that broken pages are read once.
+_REST = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
+_END = r"(?:>|\z)"  # a tag that is never closed runs to the end of the page
+_TAG = rf"<[A-Za-z/!?]{_REST}{_END}"
+
+# Attributes before an href, which need no blank behind a quoted value, and the href itself.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
+_OTHERS = rf"(?:[\s/]++|(?!href(?![^\s=>/]))[^\s>/][^\s=>/]*+(?:\s*+=\s*+{_VALUE})?+)*+"
+# Any other tag is stepped over, so that a link inside an attribute is none.
+_HREF = rf"(?is)<a(?=[\s/]){_OTHERS}href\s*+=\s*+({_VALUE}){_REST}|{_TAG}"
+
+
+def _hidden(tags: str) -> str:
+    """Comments and whole elements of `tags`; other tags are kept as group 2, with what they quote.
+
+    An unclosed comment or element runs to the end of the page, as in a browser; this also keeps the
+    match linear on broken pages.
+    """
+    return (rf"(?is)<!--.*?(?:-->|\z)|<({tags})\b{_REST}{_END}.*?(?:</\1\s*>|\z)"
+            rf"|({_TAG})")
 
 
 def visible(html: Column) -> Column:
-    """The page without comments, scripts and styles."""
-    return F.regexp_replace(html, _HIDDEN, "")
+    """The page without comments, scripts, styles and what stands in for scripts."""
+    return F.regexp_replace(html, _hidden("script|style|noscript"), "$2")
+
+
+def linking(html: Column) -> Column:
+    """The page with all markup that may hold links: without comments, scripts and styles."""
+    return F.regexp_replace(html, _hidden("script|style"), "$2")
 
 
 def _decode_reference(piece: Column) -> Column:
@@ -67,7 +84,7 @@ def decode_entities(text: Column) -> Column:
 
 def hrefs(markup: Column) -> Column:
     """All link targets of `<a>` tags, in page order, as an array."""
-    raw = F.regexp_extract_all(markup, F.lit(_HREF), F.lit(1))
+    raw = F.filter(F.regexp_extract_all(markup, F.lit(_HREF), F.lit(1)), lambda h: h != "")
     return F.transform(raw, lambda h: decode_entities(
         F.regexp_replace(h, r"""^["']|["']\z""", "")))
 
@@ -83,18 +100,18 @@ def _first(markup: Column, opening: str, rest: str) -> Column:
 
 def _element(markup: Column, tag: str) -> Column:
     """What follows the first opening tag, up to the last closing tag; NULL when there is none."""
-    return F.get(_first(markup, rf"<{tag}\b[^>]*>", rf"(.*</{tag}\s*>)"), 0)
+    return F.get(_first(markup, rf"<{tag}\b{_REST}>", rf"(.*</{tag}\s*>)"), 0)
 
 
 def _without_asides(text: Column) -> Column:
     """Drop every aside element, tag by tag, from its opening to the first closing of its name.
 
-    One linear rule for texts of every length.
+    One linear rule for texts of every length. A closing tag counts wherever it stands, also quoted.
     """
     def cut(t: Column, tag: str) -> Column:
         # Cut behind every closing tag; what a piece holds from its first opening tag on, goes.
         pieces = F.split(F.regexp_replace(t, rf"(?i)</{tag}\s+>", f"</{tag}>"), rf"(?i)(?<=</{tag}>)")
-        opened = rf"(?is)\A(?>(.*?)<{tag}\b[^>]*>).*</{tag}>\z"
+        opened = rf"(?is)\A(?>(.*?)<{tag}\b{_REST}>).*</{tag}>\z"
         return F.array_join(F.transform(pieces, lambda p: F.regexp_replace(p, opened, "$1")), "")
 
     for tag in ASIDE_TAGS:
@@ -106,12 +123,11 @@ def markdown(markup: Column) -> Column:
     """Main text of visible markup as Markdown."""
     text = F.coalesce(*[_element(markup, tag) for tag in ("article", "main", "body")], markup)
     text = _without_asides(text)
-    # A tag that is never closed runs to the end of the page.
-    text = F.regexp_replace(text, r"(?i)<h([1-6])\b[^>]*(?:>|\z)", "\n\n\x01$1")
+    text = F.regexp_replace(text, rf"(?i)<h([1-6])\b{_REST}{_END}", "\n\n\x01$1")
     for level in range(1, 7):
         text = F.replace(text, F.lit(f"\x01{level}"), F.lit("#" * level + " "))
-    text = F.regexp_replace(text, r"(?i)<li\b[^>]*(?:>|\z)", "\n- ")
-    text = F.regexp_replace(text, rf"(?i)</?(?:{BLOCK_TAGS})\b[^>]*(?:>|\z)", "\n\n")
+    text = F.regexp_replace(text, rf"(?i)<li\b{_REST}{_END}", "\n- ")
+    text = F.regexp_replace(text, rf"(?i)</?(?:{BLOCK_TAGS})\b{_REST}{_END}", "\n\n")
     text = F.regexp_replace(text, _TAG, "")
     text = decode_entities(text)
     # Patterns that match little are much cheaper than one that matches every blank.
@@ -130,7 +146,7 @@ def _plain(fragment: Column) -> Column:
 def title(markup: Column) -> Column:
     """`<title>`, else the first `<h1>`, else ''."""
     def inner(tag: str) -> Column:
-        found = _first(markup, rf"<{tag}\b[^>]*>", rf"(.*?)</{tag}\s*>")
+        found = _first(markup, rf"<{tag}\b{_REST}>", rf"(.*?)</{tag}\s*>")
         return F.coalesce(F.get(found, 0), F.lit(""))
 
     head, heading = inner("title"), inner("h1")

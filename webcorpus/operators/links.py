@@ -12,7 +12,7 @@ from webcorpus.settings import ERROR_WORD
 
 def _with_markup(pages: DataFrame) -> DataFrame:
     return once(pages.select("page_id", "url", "html"),
-                markup=html.visible(F.col("html"))).drop("html")
+                markup=html.linking(F.col("html"))).drop("html")
 
 
 def _targets() -> Column:
