@@ -94,5 +94,14 @@ def test_running_total_over_many_blocks(spark):
 def test_ids_are_dense_and_in_order_of_arrival(spark):
     arrivals = random.Random(5).sample(range(10_000), 500)
     frame = spark.createDataFrame([(a,) for a in arrivals], "a long").repartition(7)
-    got = {r.a: r.id for r in assign_ids(frame, "a", after=100, block=64).collect()}
+    got = {r.a: r.id for r in assign_ids(frame, "a", after=100).collect()}
     assert got == {a: 101 + i for i, a in enumerate(sorted(arrivals))}
+
+
+def test_ids_of_sparse_arrivals_need_few_ranges(spark):
+    frame = spark.range(5000).select(F.xxhash64("id").alias("a"))
+    got = assign_ids(frame, "a").orderBy("a").collect()
+    assert [r.id for r in got] == list(range(1, 5001))
+    tied = spark.createDataFrame([(7, "y"), (7, "x"), (3, "z")], "a long, b string")
+    assert {r.b: r.id for r in assign_ids(tied, ["a", "b"]).collect()} == {"z": 1, "x": 2, "y": 3}
+    assert assign_ids(frame.limit(0), "a").count() == 0

@@ -96,7 +96,7 @@ def any_size(spark, request):
 
 
 def test_hot_host(spark, any_size):
-    """A host with most of the rows is not shuffled; the others, and all rows, are kept."""
+    """A host with most of the rows: all rows are kept, and each finds what it should."""
     rows = spark.range(0, 60_000, 1, 8).select("id", F.when(
         F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("h"), F.col("id"))).alias("host"))
     assert [r.host for r in hot_keys(rows, "host").collect()] == ["hot"]
@@ -125,3 +125,18 @@ def test_a_host_looked_up_twice_counts_once_and_by_a_blocked_address(spark):
     got = {tuple(r) for r in admission.first_addresses(table).collect()}
     assert got == {("h", "10.0.0.9"), ("i", "9.9.9.9")}
     assert admission.first_addresses(table).count() == 2
+
+
+def test_rows_without_a_key_are_spread(spark, any_size):
+    rows = spark.range(0, 4000, 1, 4).select("id", F.when(F.col("id") % 4 == 0, F.concat(F.lit("h"), "id")).alias("host"))
+    table = spark.createDataFrame([("h0", 1), ("h8", 2)], "host string, n int")
+    got = lookup(rows, table, "host")
+    assert got.count() == 4000 and got.filter("n IS NOT NULL").count() == 2
+    assert lookup(rows, table, "host", "left_semi").columns == ["host", "id"]
+    if any_size == "-1":
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        assert max(sizes) < 2000

@@ -10,7 +10,6 @@ from webcorpus.functions import urls
 from webcorpus.functions.text import once
 from webcorpus.operators.numbering import assign_ids
 from webcorpus.schemas import ARTICLE_FIELDS
-from webcorpus.session import written
 
 
 def first_wins(df: DataFrame, key: str, arrival: str | list[str]) -> DataFrame:
@@ -91,11 +90,12 @@ def insert_if_absent(target: DataFrame, incoming: DataFrame, arrival: str,
     `known` may narrow the stored fingerprints to those that matter (see known_of).
 
     Fingerprints and arrivals alone decide who wins and get numbered; the bodies are then moved
-    once, joined on both. A page may arrive with several bodies, and a row may be repeated. `incoming` is read twice: hand in a stored or cached frame.
+    once, joined on both. A page may arrive with several bodies, and a row may be repeated.
+    `incoming` is read twice: hand in a stored or cached frame.
     """
     slim = incoming.select(F.col(arrival).alias("_at"), "content_fp")
     winners = content_dedupe(slim, "_at", target if known is None else known)
-    ids = assign_ids(written(winners, "winners"), "_at", max_id(target))
+    ids = assign_ids(winners, ["_at", "content_fp"], max_id(target))
     rows = incoming.withColumn("_at", F.col(arrival)).drop("id")
     # The last step meets rows that the join has dealt by the same keys: no further shuffle.
     return rows.join(ids, ["_at", "content_fp"]).dropDuplicates(["_at", "content_fp"]) \

@@ -26,15 +26,25 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
 def lookup(df: DataFrame, table: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join `df` with `table`, which has one row per (non-null) key; how: left, inner or left_semi.
 
-    A table small enough to be broadcast is simply joined. Otherwise rows of hot keys stay where
-    they are and meet a broadcast of their few table rows; only the others, evenly spread over
-    keys, are shuffled. Adaptive execution would not split hot keys here: it leaves joins alone
-    whose other side is an aggregate. `df` is then read three times, for its keys and its rows:
-    hand in stored rows or something as cheap.
+    A table small enough to be broadcast is simply joined. Otherwise rows of hot keys meet a
+    broadcast of their few table rows first. These rows, and those without a key, are settled then:
+    they go through the one shuffle join under a number of their own, evenly spread, and find
+    nothing there. Adaptive execution would not split hot keys here: it leaves joins alone whose
+    other side is an aggregate. Of `df` the key is read once more, to count.
     """
     if is_small(table):
         return df.join(table, key, how)
-    hot = F.broadcast(hot_keys(df, key))
-    few = F.broadcast(table.join(hot, key, "left_semi"))
-    return (df.join(hot, key, "left_semi").join(few, key, how)
-            .unionByName(df.join(hot, key, "left_anti").join(table, key, how)))
+    others = [c for c in table.columns if c != key]
+    found = table.select(key, F.struct(F.lit(True).alias("_found"), *others).alias("_row"))
+    hot = hot_keys(df.select(key), key).filter(F.col(key).isNotNull())
+    few = hot.join(found, key, "left").select(
+        key, F.lit(True).alias("_hot"), F.col("_row").alias("_few"))
+    settled = F.col("_hot").isNotNull() | F.col(key).isNull()
+    place = F.when(settled, F.monotonically_increasing_id()).otherwise(F.xxhash64(key))
+    joined = (df.join(F.broadcast(few), key, "left").withColumn("_place", place)
+              .join(found.withColumn("_place", F.xxhash64(key)), [key, "_place"], "left")
+              .withColumn("_row", F.coalesce("_few", "_row")))
+    if how != "left":
+        joined = joined.filter(F.col("_row").isNotNull())
+    added = [] if how == "left_semi" else [F.col("_row")[c].alias(c) for c in others]
+    return joined.select(key, *[c for c in df.columns if c != key], *added)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from webcorpus.session import written
+
 # Most rows of one key that any task sorts.
 BLOCK = 1 << 16
 
@@ -34,9 +36,20 @@ def running_total(df: DataFrame, keys: list[str], order: str, value: Column, out
     )
 
 
-def assign_ids(df: DataFrame, arrival: str, after: Column | int = 0, out: str = "id",
-               block: int = BLOCK) -> DataFrame:
-    """Serial ids after + 1, after + 2, … in order of `arrival` (whole and unique); see above."""
-    numbered = running_total(df, [], arrival, F.lit(1), "_rank", block)
+def assign_ids(df: DataFrame, arrival: str | list[str], after: Column | int = 0,
+               out: str = "id") -> DataFrame:
+    """Serial ids after + 1, after + 2, … in order of `arrival`, which orders the rows totally.
+
+    The rows are dealt to tasks by ranges of `arrival`, however dense or sparse its values are, and
+    stored with the number of their range; the counts of the ranges, a few rows, carry the ids on.
+    """
+    order = [arrival] if isinstance(arrival, str) else arrival
+    dealt = written(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = W.partitionBy().orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    starts = dealt.groupBy("_range").agg(F.count("*").alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     start = after if isinstance(after, Column) else F.lit(after)
-    return numbered.withColumn(out, (start + F.col("_rank")).cast("long")).drop("_rank")
+    rank = F.row_number().over(W.partitionBy("_range").orderBy(*order))
+    return (dealt.withColumn("_rank", rank).join(starts, "_range")
+            .withColumn(out, (start + F.col("_start") + F.col("_rank")).cast("long"))
+            .select(*[c for c in df.columns if c != out], out))
