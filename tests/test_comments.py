@@ -61,13 +61,17 @@ def test_csv_keeps_any_text(spark, folder):
 
 
 def test_dedupe_compares_ids_as_text(spark):
-    rows = comments.flatten_comments(docs(spark, ("p", 1, PAGE), ("p", 2, PAGE), ("q", 1, PAGE)))
+    none = {"data": [], "max_id": 0}
+    pages = docs(spark, ("p", 1, PAGE), ("p", 2, PAGE), ("p", 3, none), ("q", 1, PAGE), ("r", 1, none), ("r", 2, {}))
+    rows = comments.flatten_comments(pages)
     known = spark.createDataFrame([("2",)], "id string")
     assert [(r.post, r.page, r.id) for r in comments.comment_dedupe(rows, known).collect()] == [
         ("p", 1, "1")]
-    log = comments.comment_page_log(rows, known).orderBy("post", "page").collect()
+    log = comments.comment_page_log(pages, known).orderBy("post", "page").collect()
     assert [(r.post, r.page, r.n_rows, r.n_new, r.total) for r in log] == [
-        ("p", 1, 2, 1, 1), ("p", 2, 2, 0, 1), ("q", 1, 2, 0, 0)]
+        ("p", 1, 2, 1, 1), ("p", 2, 2, 0, 1), ("p", 3, 0, 0, 1), ("q", 1, 2, 0, 0), ("r", 1, 0, 0, 0), ("r", 2, 0, 0, 0)]
+    assert {tuple(r) for r in comments.comment_page_totals(pages, known).collect()} == {
+        ("p", 4, 1), ("q", 2, 0), ("r", 0, 0)}
     assert comments.seen_count(rows).first().seen == 2
 
 

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from webcorpus import schemas, settings
 from webcorpus.operators import analytics
 from webcorpus.operators.messages import article_messages
@@ -65,13 +67,24 @@ def test_stats_equal_the_batch_reports(spark, folder):
     source = folder + "/articles"
     articles = fx.articles(spark, SF)
     articles.repartition(3).write.parquet(source)
-    stream = spark.readStream.schema(articles.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    running = stats.stream_stats(stream, "seen", fx.AS_OF, trigger={"availableNow": True})
-    for refresh in running.values():
-        refresh.awaitTermination()
-    assert spark.table("seen_totals").collect() == analytics.article_totals(articles, fx.AS_OF).collect()
-    assert spark.table("seen_domains").collect() == analytics.domain_top10(articles).collect()
-    assert sorted(spark.table("seen_trend").collect()) == sorted(analytics.daily_trend(articles).collect())
+    out, mark = folder + "/stats", folder + "/marks"
+
+    def refresh():
+        stream = spark.readStream.schema(articles.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        for query in stats.stream_stats(stream, out, mark, trigger={"availableNow": True}).values():
+            query.awaitTermination()
+
+    refresh()
+    refresh()  # nothing new: the figures stay
+    assert stats.totals(spark, out, fx.AS_OF).collect() == analytics.article_totals(articles, fx.AS_OF).collect()
+    assert stats.domains(spark, out).collect() == analytics.domain_top10(articles).collect()
+    assert stats.trend(spark, out).collect() == analytics.daily_trend(articles).collect()
+    # One more article, a day later: today starts again, the total goes on.
+    before = stats.totals(spark, out, fx.AS_OF).first().total
+    articles.limit(1).withColumn("crawled_at", F.lit("2031-05-06 07:00:00").cast("timestamp")) \
+        .write.mode("append").parquet(source)
+    refresh()
+    assert tuple(stats.totals(spark, out, "2031-05-06").first()) == (before + 1, 1)
 
 
 def test_default_refresh_interval():

@@ -38,6 +38,11 @@ def domain_top10(articles: DataFrame, n: int = settings.TOP_DOMAINS) -> DataFram
     return domain_counts(articles).orderBy(F.desc("value"), "name").limit(n)
 
 
+def day_counts(articles: DataFrame) -> DataFrame:
+    """Articles per day of collection."""
+    return articles.groupBy(F.to_date("crawled_at").alias("day")).agg(F.count("*").alias("count"))
+
+
 def daily_trend(articles: DataFrame) -> DataFrame:
     """Articles per month-day; the same day of different years is one row."""
     return (articles.groupBy(F.date_format("crawled_at", "MM-dd").alias("date"))

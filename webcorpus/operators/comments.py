@@ -42,26 +42,28 @@ def comment_dedupe(comments: DataFrame, known: DataFrame | None = None) -> DataF
                   ["post", "page", "pos"], known)
 
 
-def _page_counts(comments: DataFrame, known: DataFrame | None) -> DataFrame:
-    """(post, page, n_rows, n_new)."""
-    new = comment_dedupe(comments, known).groupBy("post", "page").agg(F.count("*").alias("n_new"))
-    every = comments.groupBy("post", "page").agg(F.count("*").alias("n_rows"))
+def _page_counts(pages: DataFrame, known: DataFrame | None) -> DataFrame:
+    """(post, page, n_rows, n_new); a page without comments counts as a page with 0 rows."""
+    new = comment_dedupe(flatten_comments(pages), known).groupBy("post", "page").agg(
+        F.count("*").alias("n_new"))
+    held = F.when(F.col("data").isNull(), 0).otherwise(F.size("data")).cast("long")
+    every = pages.groupBy("post", "page").agg(F.sum(held).alias("n_rows"))
     return every.join(new, ["post", "page"], "left").select(
         "post", "page", "n_rows", F.coalesce("n_new", F.lit(0)).alias("n_new"))
 
 
-def comment_page_totals(comments: DataFrame, known: DataFrame | None = None) -> DataFrame:
+def comment_page_totals(pages: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Comments and new comments per post."""
-    return _page_counts(comments, known).groupBy("post").agg(
+    return _page_counts(pages, known).groupBy("post").agg(
         F.sum("n_rows").alias("comments"), F.sum("n_new").alias("new_comments"))
 
 
-def comment_page_log(comments: DataFrame, known: DataFrame | None = None) -> DataFrame:
+def comment_page_log(pages: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Per page: rows, new rows, and the running total of new rows of the post.
 
     The page counts, a small table that is read twice, are written to the shared folder.
     """
-    counts = written(_page_counts(comments, known), "page-counts")
+    counts = written(_page_counts(pages, known), "page-counts")
     return running_total(counts, ["post"], "page", F.col("n_new"), "total")
 
 
