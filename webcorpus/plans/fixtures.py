@@ -78,17 +78,21 @@ def link_pages(spark: SparkSession, sf: str) -> DataFrame:
     def path(number) -> F.Column:
         return F.concat(F.lit("/2024/01/"), number.cast("string"), F.lit(".shtml"))
 
-    def anchor(target) -> F.Column:
-        return F.concat(F.lit('<a href="'), target, F.lit('">x</a>'))
+    def anchor(target, before='<a href="') -> F.Column:
+        return F.concat(F.lit(before), target, F.lit('">x</a>'))
 
     first = path((page * 7 + 1) % n)
-    text = F.concat(F.lit("<article><p>"), *[F.concat(F.col("text"), F.lit(" "))] * 4,
+    text = F.concat(F.lit("<article><p>Gr&uuml;n &rarr; caf&eacute; <img alt='1>0'>"),
+                    *[F.concat(F.col("text"), F.lit(" "))] * 4,
                     F.lit("</p></article>"))
     html = F.concat(
-        F.lit("<html><body><nav>"),
-        anchor(first), anchor(path((page * 3 + 2) % n)), anchor(path((page + 5) % n)),
+        F.lit('<html><body><div title="<!-- "></div><nav>'),
+        anchor(first, '<a title="see href=/no, 2 > 1" href="'),
+        anchor(path((page * 3 + 2) % n), '<a class="x<y"href="'),
+        F.lit("<noscript>"), anchor(path((page + 5) % n), "<A\nID=k data-href='/no' HREF = \""),
+        F.lit("</noscript>"),
         anchor(F.concat(F.lit(SITE), first)), anchor(F.lit("/2024/01/error/9.shtml")),
-        anchor(F.lit("/news/")), anchor(F.lit("http://evil.example.org/2024/01/666.shtml")),
+        anchor(F.lit("/list/")), anchor(F.lit("http://evil.example.org/2024/01/417.shtml")),
         F.lit("</nav>"), F.when(page % 2 == 0, text).otherwise(F.lit("")),
         F.lit("</body></html>"))
     return src.select("page_id", F.concat(F.lit(SITE), path(page)).alias("url"),
@@ -121,6 +125,15 @@ def raw_comment_pages(spark: SparkSession, sf: str) -> DataFrame:
         F.to_json(F.struct(data.alias("data"), token.alias("max_id"))).alias("body")), "comments")
 
 
+def empty_comment_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages without comments: a late one of every third post, and posts that have no other."""
+    first = table(spark, sf, "conversations").filter("turn = 0 AND conv_id % 3 = 0")
+    post = F.col("conv_id").cast("string")
+    rows = F.array(F.struct(post.alias("post"), F.lit(99).cast("long").alias("page")),
+                   F.struct(F.concat(F.lit("empty-"), post).alias("post"), F.lit(1).cast("long").alias("page")))
+    return first.select(F.inline(rows)).withColumn("body", F.lit('{"data": [], "max_id": 0}'))
+
+
 def jobs(spark: SparkSession, sf: str) -> DataFrame:
     """D4: a job per event."""
     stamp = "yyyy-MM-dd HH:mm:ss.SSSSSS"

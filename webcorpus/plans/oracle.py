@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from webcorpus.functions.html import BLOCK_TAGS, ENTITIES
 from webcorpus.plans.fixtures import AS_OF, EDGE_ADDRESSES
 
 # ---- URL expressions ----------------------------------------------------------------------------
@@ -69,10 +68,20 @@ def _visible(html: str) -> str:
     return out
 
 
+# Character references that occur in the tables.
+_REFERENCES = {"lt": "<", "gt": ">", "quot": '"', "nbsp": "\u00a0", "copy": "©", "middot": "·",
+               "uuml": "ü", "eacute": "é", "rarr": "→"}
+
+# Elements that stand on lines of their own.
+_BLOCKS = ("address|article|blockquote|body|br|dd|details|div|dl|dt|figcaption|figure|h1|h2|h3|h4|h5|h6|"
+           "hr|li|main|ol|p|pre|section|summary|table|tbody|td|th|thead|tr|ul")
+
+# The end of a tag: what stands in a quoted value is no part of the markup.
+_TO_END = r"""(?:[^>=]|=\s*"[^"]*"|=\s*''[^'']*''|=)*(?:>|\z)"""
+
+
 def _entities(text: str) -> str:
-    for name, char in ENTITIES.items():
-        if name == "amp":  # last, so that nothing is decoded twice
-            continue
+    for name, char in _REFERENCES.items():  # the ampersand last, so that nothing is decoded twice
         quoted = char.replace("'", "''")
         text = f"replace({text}, '&{name};', '{quoted}')"
     return f"replace({text}, '&amp;', '&')"
@@ -88,8 +97,8 @@ def _markdown(markup: str) -> str:
     for level in range(1, 7):
         out = _sub(out, rf"(?i)<h{level}\b[^>]*(?:>|\z)", f"chr(10) || chr(10) || '{'#' * level} '")
     out = _sub(out, r"(?i)<li\b[^>]*(?:>|\z)", "chr(10) || '- '")
-    out = _sub(out, rf"(?i)</?(?:{BLOCK_TAGS})\b[^>]*(?:>|\z)", "chr(10) || chr(10)")
-    out = _entities(_sub(out, r"<[A-Za-z/!?][^>]*(?:>|\z)"))
+    out = _sub(out, rf"(?i)</?(?:{_BLOCKS})\b[^>]*(?:>|\z)", "chr(10) || chr(10)")
+    out = _entities(_sub(out, rf"<[A-Za-z/!?]{_TO_END}"))
     out = _sub(out, r"[ \t\r\f\v\x{a0}]+", "' '")
     out = _sub(_sub(out, r" ?\n ?", "chr(10)"), r"\n{3,}", "chr(10) || chr(10)")
     return f"trim({out}, chr(10) || ' ')"
@@ -142,10 +151,10 @@ _STORE_COLUMNS = """id, url, url_fp, title, published, length(content_md) AS con
 
 _D2 = rf"""n AS (SELECT count(*) AS n FROM pages),
 d2 AS (SELECT page_id, 'http://news.example.com/2024/01/' || page_id || '.shtml' AS url,
-  url || ' ' || url || ' ' || url || ' ' || url AS body, ['/2024/01/' || ((page_id * 7 + 1) % n) || '.shtml',
+  'Grün → café ' || url || ' ' || url || ' ' || url || ' ' || url AS body, ['/2024/01/' || ((page_id * 7 + 1) % n) || '.shtml',
   '/2024/01/' || ((page_id * 3 + 2) % n) || '.shtml', '/2024/01/' || ((page_id + 5) % n) || '.shtml',
   'http://news.example.com/2024/01/' || ((page_id * 7 + 1) % n) || '.shtml',
-  '/2024/01/error/9.shtml', '/news/', 'http://evil.example.org/2024/01/666.shtml'] AS hrefs
+  '/2024/01/error/9.shtml', '/list/', 'http://evil.example.org/2024/01/417.shtml'] AS hrefs
   FROM pages, n),
 d2_links AS (SELECT page_id, url, {_absolute('url', 'href')} AS abs_url
   FROM (SELECT page_id, url, unnest(hrefs) AS href FROM d2))"""
@@ -179,7 +188,9 @@ d3_new AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY
   FROM d3) WHERE rn = 1 AND id NOT IN (SELECT id FROM d3_known)),
 d3_log AS (SELECT d3.post, d3.page, count(*) AS n_rows, count(n.id) AS n_new
   FROM d3 LEFT JOIN d3_new n ON d3.post = n.post AND d3.page = n.page AND d3.pos = n.pos
-  GROUP BY d3.post, d3.page)"""
+  GROUP BY d3.post, d3.page
+  UNION ALL SELECT CAST(conv_id AS VARCHAR), 99, 0, 0 FROM conversations WHERE turn = 0 AND conv_id % 3 = 0
+  UNION ALL SELECT 'empty-' || conv_id, 1, 0, 0 FROM conversations WHERE turn = 0 AND conv_id % 3 = 0)"""
 
 _D4 = """d4 AS (SELECT event_id AS seq, md5(CAST(event_id AS VARCHAR)) AS id, 'article' AS spider,
   CASE event_type WHEN 'signup' THEN 'pending' WHEN 'view' THEN 'running' ELSE 'finished' END AS state,

@@ -13,7 +13,7 @@ from webcorpus.operators import (
     admission, analytics, comments, dedupe, extract, frontier, jobs, links, messages, numbering,
     quality)
 from webcorpus.plans import collect, fixtures as fx
-from webcorpus.session import fresh_dir, written
+from webcorpus.session import fresh_dir
 from webcorpus.sources import articles as article_io
 from webcorpus.sources import comments as comment_io
 from webcorpus.sources import messages as message_io
@@ -64,6 +64,10 @@ def _page_docs(spark: SparkSession, sf: str) -> DataFrame:
     return comments.parse_pages(fx.raw_comment_pages(spark, sf))
 
 
+def _all_page_docs(spark: SparkSession, sf: str) -> DataFrame:
+    return _page_docs(spark, sf).unionByName(comments.parse_pages(fx.empty_comment_pages(spark, sf)))
+
+
 def _comments(spark: SparkSession, sf: str) -> DataFrame:
     return comments.flatten_comments(_page_docs(spark, sf))
 
@@ -497,7 +501,7 @@ def _(spark, sf):
 
 @query("comment_page_totals")
 def _(spark, sf):
-    return comments.comment_page_totals(_comments(spark, sf), _known_comments(spark, sf))
+    return comments.comment_page_totals(_all_page_docs(spark, sf), _known_comments(spark, sf))
 
 
 @query("comment_progress")
@@ -524,14 +528,14 @@ def _(spark, sf):
 
 @query("comment_page_log")
 def _(spark, sf):
-    return comments.comment_page_log(_comments(spark, sf), _known_comments(spark, sf))
+    return comments.comment_page_log(_all_page_docs(spark, sf), _known_comments(spark, sf))
 
 
 @query("assign_ids")
 def _(spark, sf):
     target, incoming = _half_split(spark, sf)
     fresh = dedupe.content_dedupe(incoming, "id", target).select(F.col("id").alias("arrival"))
-    return numbering.assign_ids(written(fresh, "fresh"), "arrival", dedupe.max_id(target))
+    return numbering.assign_ids(fresh, "arrival", dedupe.max_id(target))
 
 
 # ---- sort, limit, frontier ----------------------------------------------------------------------
@@ -623,17 +627,17 @@ def _(spark, sf):
 
 @query("stream_stats")
 def _(spark, sf):
-    name = "stats_" + fresh_dir(spark, "")[-8:]
-    running = stats.stream_stats(_document_stream(spark, sf), name, fx.AS_OF,
+    out = fresh_dir(spark, "stats")
+    running = stats.stream_stats(_document_stream(spark, sf), out, fresh_dir(spark, "checkpoint"),
                                  trigger={"availableNow": True})
     for refresh in running.values():
         refresh.awaitTermination()
-    totals = spark.table(f"{name}_totals").select(F.inline(F.array(
+    totals = stats.totals(spark, out, fx.AS_OF).select(F.inline(F.array(
         F.struct(F.lit("total").alias("name"), F.col("total").alias("value")),
         F.struct(F.lit("today").alias("name"), F.col("today").alias("value")))))
     return (totals.select(F.lit("totals").alias("view"), "name", "value")
-            .union(spark.table(f"{name}_domains").select(F.lit("domains"), "name", "value"))
-            .union(spark.table(f"{name}_trend").select(F.lit("trend"), "date", "count")))
+            .union(stats.domains(spark, out).select(F.lit("domains"), "name", "value"))
+            .union(stats.trend(spark, out).select(F.lit("trend"), "date", "count")))
 
 
 @query("resume")
