@@ -150,6 +150,18 @@ def test_decontamination_finds_all_within_the_budget(spark):
     assert kept == {d for d, _ in rows} - {d for d, _ in got}
 
 
+def test_shared_qgrams_are_counted_in_portions(monkeypatch):
+    items = [(0, "ab" * 100), (1, "a" * 150), (2, "the quick brown fox jumps over it"), (3, "xyz" * 40)]
+    texts = ["a" * 3000 + " b", "ab" * 2000, "say the quick brown fox jumps over it and " + "a" * 149 + "q", "", "ab"]
+    block = decontaminate.Block(items)
+    at_once = [sorted(block.regions(decontaminate.codes(t))) for t in texts]
+    found = [block.matches(t) for t in texts]
+    assert {m[0] for m in found[0]} == {1} and {m[0] for m in found[1]} == {0}
+    assert {m[0] for m in found[2]} == {1, 2} and found[3] == found[4] == []
+    monkeypatch.setattr(decontaminate, "HITS", 50)
+    assert [sorted(block.regions(decontaminate.codes(t))) for t in texts] == at_once
+
+
 def test_line_windows(spark):
     rows = [(1, "p\na\nb\nc\nq"), (2, "r\na\n\n b \nc\ns"), (3, "x\nx\nx\nx\nx"), (4, "a\nb")]
     got = {r.doc_id: r.text for r in line_dedup.line_dedup(

@@ -25,8 +25,12 @@ Q = 12
 EDITS = 0.05
 # Characters of items in a block: what a task holds at once.
 BLOCK = 1 << 23
-# Characters of a text that are looked up at once, and bits of the filter's places.
+# Characters of a text that are looked up at once.
 STRIDE = 1 << 20
+# Shared q-grams that are counted at once: a text and an item of one repeated letter share
+# as many as the product of their lengths.
+HITS = 1 << 20
+# Bits of the filter's places.
 _BITS = 22
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -82,32 +86,29 @@ class Block:
         self.filter = np.zeros(1 << _BITS, dtype=bool)
         self.filter[self.hashes >> np.uint64(64 - _BITS)] = True
 
-    def _hits(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, diagonal) of every q-gram that the text shares with an item."""
-        items, diagonals = [], []
+    def _hits(self, chars: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(item, diagonal) of every q-gram that the text shares with an item, about HITS at a time."""
         for start in range(0, len(chars), STRIDE):
             grams = qgrams(chars[start:start + STRIDE + self.q - 1], self.q)
             at = np.flatnonzero(self.filter[grams >> np.uint64(64 - _BITS)])
             low = np.searchsorted(self.hashes, grams[at], "left")
             n = np.searchsorted(self.hashes, grams[at], "right") - low
             at, low, n = at[n > 0], low[n > 0], n[n > 0]
-            entry = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            items.append(self.item[entry])
-            diagonals.append(np.repeat(at, n) + start - self.place[entry])
-        if not items:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        return np.concatenate(items), np.concatenate(diagonals)
+            group = np.cumsum(n) // HITS
+            for cut in np.split(np.arange(len(n)), np.flatnonzero(np.diff(group)) + 1):
+                if len(cut):
+                    m = n[cut]
+                    entry = np.repeat(low[cut] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+                    yield self.item[entry], np.repeat(at[cut], m) + start - self.place[entry]
 
     def regions(self, chars: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(item, lowest diagonal, highest diagonal) of bands that reach the lemma's bound."""
-        item, diagonal = self._hits(chars)
-        if not len(item):
-            return
-        step = self.budgets[item] + 1
-        # Each hit counts in two bands: the one that begins at its step, and the one before.
-        cell = np.floor_divide(diagonal, step)
-        item2, cell2 = np.r_[item, item], np.r_[cell, cell - 1]
-        pairs, counts = _counted(item2, cell2)
+        pairs, counts = np.zeros((2, 0), dtype=np.int64), np.zeros(0, dtype=np.int64)
+        for item, diagonal in self._hits(chars):
+            # Each hit counts in two bands: the one that begins at its step, and the one before.
+            cell = np.floor_divide(diagonal, self.budgets[item] + 1)
+            new, n = _counted(np.r_[item, item], np.r_[cell, cell - 1])
+            pairs, counts = _counted(*np.c_[pairs, new], np.r_[counts, n])
         for k in np.flatnonzero(counts >= self.bounds[pairs[0]]):
             i, c = int(pairs[0, k]), int(pairs[1, k])
             width = int(self.budgets[i]) + 1
@@ -133,11 +134,14 @@ class Block:
         return [(self.items[i][0], begin, end, edits) for i, edits, begin, end in kept]
 
 
-def _counted(item: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _counted(item: np.ndarray, cell: np.ndarray,
+             n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The different (item, cell), and how often each occurs, or the sum of its `n`."""
     order = np.lexsort((cell, item))
     i, c = item[order], cell[order]
-    starts = np.flatnonzero(np.r_[True, (i[1:] != i[:-1]) | (c[1:] != c[:-1])])
-    return np.stack([i[starts], c[starts]]), np.diff(np.r_[starts, len(i)])
+    starts = np.flatnonzero(np.r_[np.ones(len(i[:1]), bool), (i[1:] != i[:-1]) | (c[1:] != c[:-1])])
+    sums = np.diff(np.r_[starts, len(i)]) if n is None or not len(i) else np.add.reduceat(n[order], starts)
+    return np.stack([i[starts], c[starts]]), sums
 
 
 def aligned(item: np.ndarray, text: np.ndarray, low: int, high: int,
