@@ -178,6 +178,13 @@ def allowed_hosts(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").filter(key % 3 != 0).select(_host(key).alias("host"))
 
 
+def site_lookups(spark: SparkSession, sf: str) -> DataFrame:
+    """D5 with the site of D2, which was looked up twice."""
+    site = spark.createDataFrame([("news.example.com", "93.184.215.14", 0)] * 2,
+                                 "host string, ip string, ord int")
+    return host_lookups(spark, sf).unionByName(site)
+
+
 def addresses(spark: SparkSession, sf: str) -> DataFrame:
     """D5: the first address of every host, and the edge addresses."""
     edges = spark.createDataFrame([(f"edge-{ip}", ip) for ip in EDGE_ADDRESSES],

@@ -163,7 +163,7 @@ _EDGES = _D2 + rf""",
 edges AS (SELECT DISTINCT url AS src, abs_url AS dst FROM d2_links
   WHERE regexp_matches(abs_url, {_ARTICLE}) AND abs_url NOT LIKE '%error%'
     AND abs_url LIKE 'http://news.example.com/%'),
-l0 AS (SELECT url FROM d2 WHERE page_id = 0),
+l0 AS (SELECT url FROM d2 WHERE page_id % 50 = 0),
 l1 AS (SELECT DISTINCT dst AS url FROM edges JOIN l0 ON src = url
   WHERE dst NOT IN (SELECT url FROM l0)),
 l2 AS (SELECT DISTINCT dst AS url FROM edges JOIN l1 ON src = url

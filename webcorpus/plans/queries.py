@@ -90,13 +90,17 @@ def _allowed_page_hosts(spark: SparkSession, sf: str) -> DataFrame:
     return _page_hosts(spark, sf).filter("page_id % 3 = 0").select("host").distinct()
 
 
-def _admit(df: DataFrame) -> DataFrame:
-    return admission.filter_hosts(admission.filter_scheme(df), ["news.example.com"])
+def _admit(df: DataFrame, sf: str) -> DataFrame:
+    """Scheme, host and address, as for any URL that is to be collected."""
+    spark = df.sparkSession
+    allowed = spark.createDataFrame([("news.example.com",)], "host string")
+    judged = admission.admission(df, allowed, fx.site_lookups(spark, sf))
+    return judged.filter("reject_reason IS NULL").drop("reject_reason")
 
 
 def _frontier(spark: SparkSession, sf: str, **options) -> DataFrame:
-    seeds = fx.link_pages(spark, sf).filter("page_id = 0").select("url")
-    return frontier.crawl_frontier(seeds, fx.link_pages(spark, sf), _admit, **options)
+    seeds = fx.link_pages(spark, sf).filter("page_id % 50 = 0").select("url")
+    return frontier.crawl_frontier(seeds, fx.link_pages(spark, sf), lambda df: _admit(df, sf), **options)
 
 
 def _as_store(df: DataFrame) -> DataFrame:
