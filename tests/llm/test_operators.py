@@ -113,6 +113,27 @@ def test_fertility_figures_by_brute_force(spark):
         assert r.base_failed == (len(words) < 10 or 100 * len(covered) > 20 * len(words))
 
 
+def prose(rng, n):
+    words = ("the water of this river runs down from a mountain and people there have always known how "
+             "to find stones under its green bank while children play near old houses every summer").split()
+    return " ".join(rng.choice(words) + rng.choice(["", "", "", ",", "."]) for _ in range(n))
+
+
+def kept_by_quality(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    return {r.doc_id for r in fertility.quality(frame, tokenizer("piece_bpe_32k.model")).collect() if r.kept}
+
+
+def test_copies_do_not_close_the_bands(spark):
+    rng = random.Random(11)
+    rows = [(k, prose(rng, rng.randint(300, 360)), "en") for k in range(100)]
+    alone = kept_by_quality(spark, rows)
+    assert len(alone) >= 95
+    copy = rows[min(alone)][1]
+    for n in (50, 300):  # a third of all rows, and three quarters
+        assert kept_by_quality(spark, rows + [(1000 + k, copy, "en") for k in range(n)]) >= alone
+
+
 def edits(a, b):
     """Fewest edits between a and any part of b."""
     row = np.zeros(len(b) + 1, dtype=int)

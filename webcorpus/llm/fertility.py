@@ -39,6 +39,8 @@ CORPUS_BANDS = {"chars_per_token": (8.0, 8.0), "token_entropy": (4.0, 8.0)}
 # Steps in which the corpus is counted, and fewest documents that make a band.
 STEPS = {"chars_per_token": 0.002, "token_entropy": 0.005}
 FEWEST = 50
+# Least median deviation: many near copies of one text must not close the band on themselves.
+LEAST_SPREAD = {"chars_per_token": 0.03, "token_entropy": 0.03}
 # Code points that start and end the letters of a script.
 _RANGES = {"latin": [(0x41, 0x5B), (0x61, 0x7B), (0xC0, 0x250), (0x1E00, 0x1F00)],
            "cyrillic": [(0x400, 0x530)], "greek": [(0x370, 0x400), (0x1F00, 0x2000)],
@@ -224,22 +226,24 @@ def _median(counts: DataFrame, value: str, keys: list[str], out: str) -> DataFra
 def corpus_bands(measured: DataFrame) -> DataFrame:
     """(kind, length, lo_<figure>, hi_<figure>): accepted bands, read off all measured rows.
 
-    The rows are counted per step of a figure; only these counts, at most some thousand per kind
+    Each different text of a kind counts once, however many copies it has. The texts are counted
+    per step of a figure; only these counts, at most some thousand per kind
     and length, are ordered. Rows that fail the base rule say nothing about prose and are left out.
     """
     keys = ["kind", "length"]
-    usable = measured.filter(~_base_failed())
+    usable = written(measured.filter(~_base_failed()).select(*keys, "th", *[
+        F.round(F.col(f"f.{figure}") / step).cast("long").alias(figure)
+        for figure, step in STEPS.items()]).distinct(), "texts")
     bands = None
     for figure, (below, above) in CORPUS_BANDS.items():
         step = STEPS[figure]
-        counts = written(usable.groupBy(*keys, F.round(F.col(f"f.{figure}") / step).cast("long")
-                                        .alias("v")).agg(F.count("*").alias("n")), "counts")
+        counts = written(usable.groupBy(*keys, F.col(figure).alias("v")).agg(F.count("*").alias("n")), "counts")
         middle = _median(counts, "v", keys, "mid").filter(F.col("documents") >= FEWEST)
         away = F.abs(F.col("v") - F.col("mid"))
         off = counts.join(middle.select(*keys, "mid"), keys).withColumn("off", away).groupBy(*keys, "mid", "off").agg(F.sum("n").alias("n"))
         spread = _median(off, "off", [*keys, "mid"], "mad")
-        # 1.4826 makes the median deviation that of a normal distribution; a step is the least.
-        scale = 1.4826 * F.greatest(F.col("mad"), F.lit(1)) * step
+        # 1.4826 makes the median deviation that of a normal distribution.
+        scale = 1.4826 * F.greatest(F.col("mad") * step, F.lit(LEAST_SPREAD[figure]))
         own = spread.select(*keys, (F.col("mid") * step - below * scale).alias(f"lo_{figure}"),
                             (F.col("mid") * step + above * scale).alias(f"hi_{figure}"))
         bands = own if bands is None else bands.join(own, keys)
@@ -253,7 +257,8 @@ def judged(rows: DataFrame, path: str, *dropped: str) -> DataFrame:
     and lengths with fewer than FEWEST documents have no band of their own: only the script's counts.
     """
     measured = written(figures(rows, path).withColumns({
-        "kind": F.coalesce(F.col("lang"), F.col("f.script")), "length": _length_class()}).drop(*dropped), "figures")
+        "kind": F.coalesce(F.col("lang"), F.col("f.script")), "length": _length_class(),
+        "th": F.xxhash64("text")}).drop(*dropped), "figures")
     bands = corpus_bands(measured)
     limits = F.create_map(*[x for script, band in SCRIPT_BANDS.items() for x in (
         F.lit(script), F.array(*[F.lit(float(b)) for b in band]))])
