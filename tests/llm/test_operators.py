@@ -236,6 +236,14 @@ def test_dense_balls_of_fingerprints(spark):
         assert {tuple(r) for r in simhash.links(frame, crowded).collect()} == want
 
 
+def test_keep_one_leaves_other_texts_of_an_id(spark):
+    text, copy = "one two three four five", "ONE two three four five"
+    rows = [(1, text), (None, copy), (None, "a text found nowhere else"), (2, text), (2, "quite different words here"),
+            (None, None)]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {tuple(r) for r in got} == {rows[0], rows[2], rows[4], rows[5]}
+
+
 def test_factors_learn_what_linear_weights_miss():
     rng = np.random.default_rng(1)
     x = (rng.random((1500, 6)) < 0.4).astype(float)

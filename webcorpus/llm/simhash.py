@@ -46,16 +46,20 @@ def fingerprint_of(text: str, width: int) -> int:
 
 
 def fingerprints(documents: DataFrame, width: int = 3) -> DataFrame:
-    """(doc_id, fp) for every row; fp as a signed long. Null and empty texts have fingerprint 0."""
+    """(doc_id, th, fp) for every row; th is the text's hash, fp a signed long.
+
+    Null and empty texts have fingerprint 0.
+    """
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             fps = [fingerprint_of(t or "", width) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"),
+                "doc_id": batch.column("doc_id"), "th": batch.column("th"),
                 "fp": pa.array(np.array(fps, dtype=np.uint64).view(np.int64))})
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return map_batches(documents.select("doc_id", "text"), make, f"doc_id {kind}, fp long")
+    rows = documents.select("doc_id", F.xxhash64("text").alias("th"), "text")
+    return map_batches(rows, make, f"doc_id {kind}, th long, fp long")
 
 
 def _signed(mask: int) -> int:
@@ -125,7 +129,12 @@ def simhash_components(documents: DataFrame, width: int = 3, crowded: int = CROW
     are one node, so thousands of copies cost one comparison. Null, empty and blank texts have
     fingerprint 0 and link like any other. Other columns are not read.
     """
-    rows = written(fingerprints(documents, width), "fingerprints")
+    return _placed(written(fingerprints(documents, width), "fingerprints"), crowded).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _placed(rows: DataFrame, crowded: int = CROWDED) -> DataFrame:
+    """The stored rows (doc_id, fp, ...) with the component_id of their fingerprint."""
     nodes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
     roots = components(links(nodes.select("fp"), crowded))
     placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -133,17 +142,18 @@ def simhash_components(documents: DataFrame, width: int = 3, crowded: int = CROW
     placed = written(placed, "placed")
     ids = written(placed.groupBy("root").agg(F.min("low").alias("component_id")), "ids")
     of = written(placed.join(ids, "root").select("fp", "component_id"), "components")
-    return rows.join(of, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return rows.join(of, "fp")
 
 
 def keep_one(documents: DataFrame, width: int = 3) -> DataFrame:
     """The documents without near-copies: of each component, the row of its smallest doc_id.
 
     Rows without a doc_id stay only when their whole component has none, and then all of them do.
-    Of repeated rows with the component's doc_id, each stays, as they are the same document.
+    Of repeated rows with the component's doc_id, each stays, as they are the same document. Rows
+    are told by (doc_id, hash of the text): another text under the same or no doc_id is not touched.
     """
-    places = simhash_components(documents, width)
+    places = _placed(written(fingerprints(documents, width), "fingerprints"))
     gone = written(places.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-                   .select(F.col("doc_id").alias("_id")).distinct(), "copies")
-    return documents.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+                   .select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct(), "copies")
+    return documents.join(gone, F.col("doc_id").eqNullSafe(F.col("_id"))
+                          & (F.xxhash64("text") == F.col("_th")), "left_anti")
