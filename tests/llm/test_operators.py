@@ -292,6 +292,14 @@ def test_wrappers_by_alignment_and_by_marks():
     assert wrappers.texts_of([marked, ""]) == ["A x y", ""]
 
 
+def test_code_in_scripts_is_no_markup():
+    for code in ("for(var i=0;i<n;i++){f(i)}", "var s='<!--';", "if(a<b){x='</p>'}", "<![CDATA[ <style>", "a='</scripts>'"):
+        page = f"<body><p>before<SCRIPT>{code}</Script ><p>article <style>{code}</style>end"
+        assert wrappers.texts_of([page]) == ["before article end"], code
+    assert wrappers.texts_of(["<p>a<script>i<n; b</p><p>c"]) == ["a"]
+    assert wrappers.texts_of(["<title>x<y</title><p>a"]) == ["a"]
+
+
 def test_wrappers_on_odd_pages(spark):
     rows = [(1, None, None), (None, "http://h/x", "<p>a"), (2, "nohost", "<p>b"), (2, "nohost", "<p>b"),
             (3, "http://h/y", "<" * 500), (4, "http://h/z", "<div>" * 3000 + "deep")]
