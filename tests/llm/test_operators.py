@@ -134,6 +134,15 @@ def test_copies_do_not_close_the_bands(spark):
         assert kept_by_quality(spark, rows + [(1000 + k, copy, "en") for k in range(n)]) >= alone
 
 
+def test_thin_classes_borrow_a_band(spark):
+    rng = random.Random(12)
+    rows = [(k, prose(rng, rng.randint(300, 360)), "en") for k in range(80)]
+    junk = " ".join(f"{rng.randrange(10**6):x}|{rng.randrange(10**6)}" for _ in range(700))
+    rows += [(200, prose(rng, 700), "en"), (201, junk, "en"), (202, prose(rng, 320), "xx"), (203, junk, "xx"),
+             (204, prose(rng, 30), "en"), (205, prose(rng, 30), "xx")]
+    assert kept_by_quality(spark, rows) & set(range(200, 206)) == {200, 202, 204, 205}
+
+
 def edits(a, b):
     """Fewest edits between a and any part of b."""
     row = np.zeros(len(b) + 1, dtype=int)

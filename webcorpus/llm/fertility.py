@@ -36,7 +36,7 @@ SCRIPT_BANDS = {
 }
 # Accepted per language and length: deviations from the median, below and above.
 CORPUS_BANDS = {"chars_per_token": (8.0, 8.0), "token_entropy": (4.0, 8.0)}
-# Steps in which the corpus is counted, and fewest documents that make a band.
+# Steps in which the corpus is counted, and fewest texts that make a band.
 STEPS = {"chars_per_token": 0.002, "token_entropy": 0.005}
 FEWEST = 50
 # Least median deviation: many near copies of one text must not close the band on themselves.
@@ -224,42 +224,71 @@ def _median(counts: DataFrame, value: str, keys: list[str], out: str) -> DataFra
 
 
 def corpus_bands(measured: DataFrame) -> DataFrame:
-    """(kind, length, lo_<figure>, hi_<figure>): accepted bands, read off all measured rows.
+    """(kind, length, far_, lo_, hi_<figure>): accepted bands, read off all measured rows.
 
-    Each different text of a kind counts once, however many copies it has. The texts are counted
-    per step of a figure; only these counts, at most some thousand per kind
+    Each different text of a kind counts once, however many copies it has. A length with fewer
+    than FEWEST texts takes in the lengths next to it, as far as it needs; far_ says whether it went
+    beyond the next ones. Kinds are languages, and each script over all its texts (`#` and its name).
+
+    The texts are counted per step of a figure; only these counts, at most some thousand per kind
     and length, are ordered. Rows that fail the base rule say nothing about prose and are left out.
     """
     keys = ["kind", "length"]
-    usable = written(measured.filter(~_base_failed()).select(*keys, "th", *[
+
+    def both(rows: DataFrame, *columns: str) -> DataFrame:
+        kinds = F.array(F.col("kind"), F.concat(F.lit("#"), F.col("script")))
+        return rows.select(F.explode(kinds).alias("kind"), "length", *columns)
+
+    texts = measured.filter(~_base_failed()).select(*keys, "th", F.col("f.script").alias("script"), *[
         F.round(F.col(f"f.{figure}") / step).cast("long").alias(figure)
-        for figure, step in STEPS.items()]).distinct(), "texts")
+        for figure, step in STEPS.items()]).distinct()
+    texts = written(texts.groupBy(*keys, "script", *STEPS).agg(F.count("*").alias("n")), "texts")
+    sizes = written(both(texts, "n").groupBy(*keys).agg(F.sum("n").alias("n")), "sizes")
+    asked = both(measured.select(*keys, F.col("f.script").alias("script")).distinct()).distinct()
+    distance = F.abs(F.col("length") - F.col("source"))
+    upto = W.partitionBy(*keys).orderBy("away").rangeBetween(W.unboundedPreceding, -1)
+    near = asked.join(sizes.withColumnRenamed("length", "source"), "kind").withColumn("away", distance)
     bands = None
     for figure, (below, above) in CORPUS_BANDS.items():
         step = STEPS[figure]
-        counts = written(usable.groupBy(*keys, F.col(figure).alias("v")).agg(F.count("*").alias("n")), "counts")
+        # Entropy grows with the length: longer texts than the next length say nothing about it.
+        usable = near.filter("source <= length + 1") if figure == "token_entropy" else near
+        # A length is taken in while those nearer than it are too few.
+        sources = written(usable.withColumn("_nearer", F.coalesce(F.sum("n").over(upto), F.lit(0)))
+                          .filter(F.col("_nearer") < FEWEST).select(*keys, "source", "away"), "sources")
+        counts = both(texts.withColumnRenamed(figure, "v"), "v", "n").withColumnRenamed("length", "source")
+        counts = written(counts.join(sources, ["kind", "source"]).groupBy(*keys, "v")
+                         .agg(F.sum("n").alias("n"), F.max("away").alias("away")), "counts")
+        far = counts.groupBy(*keys).agg((F.max("away") > 1).alias(f"far_{figure}"))
         middle = _median(counts, "v", keys, "mid").filter(F.col("documents") >= FEWEST)
         away = F.abs(F.col("v") - F.col("mid"))
         off = counts.join(middle.select(*keys, "mid"), keys).withColumn("off", away).groupBy(*keys, "mid", "off").agg(F.sum("n").alias("n"))
         spread = _median(off, "off", [*keys, "mid"], "mad")
         # 1.4826 makes the median deviation that of a normal distribution.
         scale = 1.4826 * F.greatest(F.col("mad") * step, F.lit(LEAST_SPREAD[figure]))
-        own = spread.select(*keys, (F.col("mid") * step - below * scale).alias(f"lo_{figure}"),
-                            (F.col("mid") * step + above * scale).alias(f"hi_{figure}"))
-        bands = own if bands is None else bands.join(own, keys)
+        most = F.col("mid") * step + above * scale
+        if figure == "token_entropy":
+            most = F.when(F.col(f"far_{figure}"), F.lit(float("inf"))).otherwise(most)
+        own = spread.join(far, keys).select(
+            *keys, f"far_{figure}", (F.col("mid") * step - below * scale).alias(f"lo_{figure}"),
+            most.alias(f"hi_{figure}"))
+        bands = own if bands is None else bands.join(own, keys, "full")
     return written(bands, "bands")
 
 
 def judged(rows: DataFrame, path: str, *dropped: str) -> DataFrame:
     """Rows (text, lang, ...) with figures `f`, `base_failed` and `kept`, without `dropped` columns.
 
-    A language counts by its code in `lang`, or by the text's script where that is null. Kinds
-    and lengths with fewer than FEWEST documents have no band of their own: only the script's counts.
+    A language counts by its code in `lang`, or by the text's script where that is null. Languages
+    with fewer than FEWEST texts of about a length are judged by the band of the text's script over
+    all languages, then by the nearest lengths; only a script with fewer has no band but its wide one.
     """
     measured = written(figures(rows, path).withColumns({
         "kind": F.coalesce(F.col("lang"), F.col("f.script")), "length": _length_class(),
         "th": F.xxhash64("text")}).drop(*dropped), "figures")
     bands = corpus_bands(measured)
+    general = bands.select(F.col("kind").alias("_script"), "length", *[
+        F.col(c).alias(f"_{c}") for c in bands.columns[2:]])
     limits = F.create_map(*[x for script, band in SCRIPT_BANDS.items() for x in (
         F.lit(script), F.array(*[F.lit(float(b)) for b in band]))])
     limit = F.element_at(limits, F.col("f.script"))
@@ -268,10 +297,12 @@ def judged(rows: DataFrame, path: str, *dropped: str) -> DataFrame:
             & (F.col("f.byte_percent") <= limit[2])
             & (F.col("f.token_entropy") >= limit[3] * most))
     for figure in CORPUS_BANDS:
-        fits &= F.coalesce(F.col(f"f.{figure}").between(F.col(f"lo_{figure}"), F.col(f"hi_{figure}")),
-                           F.lit(True))
-    return measured.join(bands, ["kind", "length"], "left").withColumn("base_failed", _base_failed()) \
-        .withColumn("kept", ~F.col("base_failed") & fits)
+        low, high = [F.coalesce(*[F.when(~F.col(f"{of}far_{figure}"), F.col(f"{of}{side}_{figure}")) for of in ("", "_")],
+                                f"{side}_{figure}", f"_{side}_{figure}") for side in ("lo", "hi")]
+        fits &= F.coalesce(F.col(f"f.{figure}").between(low, high), F.lit(True))
+    return (measured.withColumn("_script", F.concat(F.lit("#"), F.col("f.script")))
+            .join(bands, ["kind", "length"], "left").join(general, ["_script", "length"], "left")
+            .withColumn("base_failed", _base_failed()).withColumn("kept", ~F.col("base_failed") & fits))
 
 
 def quality(documents: DataFrame, path: str) -> DataFrame:
