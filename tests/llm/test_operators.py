@@ -199,6 +199,17 @@ def test_line_windows(spark):
     assert got == {1: "p\na\nb\nc\nq", 2: "r\ns", 3: "x", 4: "a\nb"}
 
 
+def test_short_texts_are_windows_of_their_own(spark):
+    line = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, line), (2, f" {line}\n\n"), (3, f"a\n\n{line}"), (4, f"a\n{line}\n"), (5, f"{line}\na"), (6, ""), (7, ""),
+            (8, f"p\n{line}\nq")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(frame, short=True).collect()}
+    assert got.pop(2).strip() == got.pop(4).strip() == ""
+    assert got == {d: t for d, t in rows if d not in (2, 4)}
+    assert {r.doc_id: r.text for r in line_dedup.line_dedup(frame).collect()} == dict(rows)
+
+
 def test_simhash_by_brute_force(spark):
     rng = random.Random(7)
     rows = [(k, " ".join(f"w{rng.randrange(60)}" for _ in range(40))) for k in range(60)]

@@ -22,10 +22,11 @@ def _full(lines: Column) -> Column:
     return F.filter(places, lambda i: i.isNotNull())
 
 
-def _windows(text: Column) -> Column:
+def _windows(text: Column, short: bool) -> Column:
     """(at, h1, h2) of every three consecutive lines that are not blank; a 128-bit hash.
 
-    Lines are compared without the white space around them.
+    Lines are compared without the white space around them. With `short`, the lines of a text that
+    has one or two form a window; the hashes pass over lines that are not there.
     """
     def of(hashes: Column) -> Column:
         def window(i: Column) -> Column:
@@ -34,12 +35,12 @@ def _windows(text: Column) -> Column:
                             F.xxhash64(*[x["a"] for x in three]).alias("h1"),
                             F.xxhash64(*[x["b"] for x in three]).alias("h2"))
 
-        return F.transform(F.sequence(F.lit(0), F.size(hashes) - WIDTH), window)
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.size(hashes) - WIDTH, F.lit(0))), window)
 
     full = F.filter(F.transform(_lines(text), lambda x: F.trim(x, F.lit(_BLANK))), lambda x: x != "")
     hashed = F.transform(full, lambda x: F.struct(
         F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b")))
-    return let(hashed, lambda h: F.when(F.size(h) >= WIDTH, of(h)))
+    return let(hashed, lambda h: F.when(F.size(h) >= (1 if short else WIDTH), of(h)))
 
 
 def _without(text: Column, starts: Column) -> Column:
@@ -54,7 +55,7 @@ def _without(text: Column, starts: Column) -> Column:
 
             begins = F.transform(F.filter(starts, is_begin), lambda x: F.get(full, x))
             ends = F.transform(F.filter(starts, is_end),
-                               lambda x: F.get(full, x + (WIDTH - 1)) + 1)
+                               lambda x: F.get(full, F.least(x + (WIDTH - 1), F.size(full) - 1)) + 1)
             spans = F.arrays_zip(F.concat(F.array(F.lit(0)), ends).alias("a"),
                                  F.concat(begins, F.array(F.size(lines))).alias("b"))
             kept = F.transform(spans, lambda s: F.slice(lines, s["a"] + 1, s["b"] - s["a"]))
@@ -65,14 +66,15 @@ def _without(text: Column, starts: Column) -> Column:
     return let(_lines(text), cut)
 
 
-def line_dedup(documents: DataFrame) -> DataFrame:
+def line_dedup(documents: DataFrame, short: bool = False) -> DataFrame:
     """The documents without repeated passages, with `n_removed`, the number of windows found again.
 
     A window is three consecutive lines; blank lines are passed over. Of all windows with the same
     lines, in the order of (doc_id, hash of the text, place), the first stays; every line that a
     later one covers is removed, with blank lines in between. Some copy of each line always stays.
 
-    Null texts, and texts of fewer than three lines, stay as they are. Rows without a doc_id come
+    Null texts stay as they are, and so do texts of fewer than three lines, unless `short` makes all
+    lines of such a text one window. Rows without a doc_id come
     last in the order. Rows with the same doc_id and text are one document: they lose the same
     lines. A text may end up empty. All columns of `documents` are kept, `text` changed.
 
@@ -80,7 +82,7 @@ def line_dedup(documents: DataFrame) -> DataFrame:
     finds their later places is between two stored tables, which adaptive execution can split.
     The texts meet their covered lines by a merge join at every size, which grows in proportion.
     """
-    key = documents.select("doc_id", F.xxhash64("text").alias("th"), _windows(F.col("text")).alias("w"))
+    key = documents.select("doc_id", F.xxhash64("text").alias("th"), _windows(F.col("text"), short).alias("w"))
     places = key.select("doc_id", "th", F.inline("w"))
     repeated = written(places.groupBy("h1", "h2").agg(F.count("*").alias("n"))
                        .filter("n > 1").select("h1", "h2"), "repeated")
