@@ -328,6 +328,24 @@ def test_wrappers_by_alignment_and_by_marks():
     assert wrappers.texts_of([marked, ""]) == ["A x y", ""]
 
 
+def test_copies_and_small_hosts_are_aligned_whatever_the_partitions(spark):
+    body = "<article><h1>Title {0}</h1><p>First {0} line</p><p>Unmarked notice</p></article>"
+    pages = [PAGE.format(body.format(k)) for k in range(3)]
+    want = [f"Title {k} First {k} line" for k in range(3)]
+    assert wrappers.texts_of(pages) == want  # fewer than five pages
+    assert wrappers.texts_of([pages[0]] * 6 + pages[1:] * 2) == [want[0]] * 6 + want[1:] * 2
+    rows = [(h * 1000 + k, f"http://h{h}/{k}", PAGE.format(body.format(k))) for h, n in enumerate((300, 2, 3, 6)) for k in range(n)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("3", "97"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = {r.page_id: r.text for r in wrappers.extract(frame).collect()}
+            assert got == {i: f"Title {i % 1000} First {i % 1000} line" for i, _, _ in rows}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_code_in_scripts_is_no_markup():
     for code in ("for(var i=0;i<n;i++){f(i)}", "var s='<!--';", "if(a<b){x='</p>'}", "<![CDATA[ <style>", "a='</scripts>'"):
         page = f"<body><p>before<SCRIPT>{code}</Script ><p>article <style>{code}</style>end"
