@@ -346,6 +346,15 @@ def test_copies_and_small_hosts_are_aligned_whatever_the_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_large_and_deep_pages_are_aligned():
+    rows = ["".join(f"<li><i>n{(7 * j + k) % 9001}</i> of page {k}</li><li>Fixed {j}</li>" for j in range(2500)) for k in range(2)]
+    got = wrappers.texts_of([f"<div>Unmarked menu</div><ul>{r}</ul><div>All rights</div>" for r in rows])
+    assert all("menu" not in t and "rights" not in t and "Fixed" not in t and f"of page {k}" in t
+               for k, t in enumerate(got))
+    deep = [f"<p>Unmarked menu</p>{'<div>' * 3000}own {k}{'</div>' * 3000}" for k in range(3)]
+    assert wrappers.texts_of(deep) == ["own 0", "own 1", "own 2"]
+
+
 def test_code_in_scripts_is_no_markup():
     for code in ("for(var i=0;i<n;i++){f(i)}", "var s='<!--';", "if(a<b){x='</p>'}", "<![CDATA[ <style>", "a='</scripts>'"):
         page = f"<body><p>before<SCRIPT>{code}</Script ><p>article <style>{code}</style>end"
