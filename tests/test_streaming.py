@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from webcorpus import schemas, settings
+from webcorpus import settings
 from webcorpus.operators import analytics
 from webcorpus.operators.messages import article_messages
 from webcorpus.plans import collect, fixtures as fx
@@ -50,7 +50,7 @@ def test_publish_and_consume_once(spark, folder):
     article_io.articles_sink(fx.articles(spark, SF), store, "id")
 
     def run():
-        stream = spark.readStream.schema(schemas.ARTICLE).parquet(store)
+        stream = article_io.articles_stream(spark, store)
         message_io.message_sink(stream, folder + "/mark_a", path=topic).awaitTermination()
         source = message_io.message_source(spark, path=topic, files_per_batch=1)
         consumers.stream_consume(source, folder + "/shown", folder + "/mark_b").awaitTermination()

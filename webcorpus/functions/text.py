@@ -8,12 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_BLANK = r"[\s\x1c-\x1f]"
+BLANK = r"[\s\x1c-\x1f]"
 
 
 def strip(text: Column) -> Column:
     """Drop leading and trailing Unicode white space (trim() would only drop blanks)."""
-    return F.regexp_replace(text, rf"(?U)^{_BLANK}+|{_BLANK}+\z", "")
+    return F.regexp_replace(text, rf"(?U)^{BLANK}+|{BLANK}+\z", "")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -74,28 +74,27 @@ def max_id(target: DataFrame) -> Column:
     return target.select(F.coalesce(F.max("id"), F.lit(0))).scalar()
 
 
-def known_of(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
-    """The keys of a small `batch` that are stored already.
-
-    The keys of the batch go to the scan of the store, so the store is read in place and only
-    matches move, however large it has grown.
-    """
-    return stored.select(key).join(batch.select(key).distinct(), key, "left_semi").distinct()
-
-
 def insert_if_absent(target: DataFrame, incoming: DataFrame, arrival: str,
                      known: DataFrame | None = None) -> DataFrame:
     """The rows to append: new content fingerprints only, first arrival each, with serial ids.
 
-    `known` may narrow the stored fingerprints to those that matter (see known_of).
+    `known` may narrow the stored fingerprints to those that matter.
 
     Fingerprints and arrivals alone decide who wins and get numbered; the bodies are then moved
     once, joined on both. A page may arrive with several bodies, and a row may be repeated.
     `incoming` is read twice: hand in a stored or cached frame.
     """
-    slim = incoming.select(F.col(arrival).alias("_at"), "content_fp")
-    winners = content_dedupe(slim, "_at", target if known is None else known)
-    ids = assign_ids(winners, ["_at", "content_fp"], max_id(target))
+    winners = content_dedupe(arrivals(incoming, arrival), "_at", target if known is None else known)
+    return numbered(incoming, arrival, assign_ids(winners, ["_at", "content_fp"], max_id(target)))
+
+
+def arrivals(incoming: DataFrame, arrival: str) -> DataFrame:
+    """(_at, content_fp): all that decides which rows are inserted."""
+    return incoming.select(F.col(arrival).alias("_at"), "content_fp")
+
+
+def numbered(incoming: DataFrame, arrival: str, ids: DataFrame) -> DataFrame:
+    """The rows of `incoming` that `ids` (_at, content_fp, id) lists, each once, as stored articles."""
     rows = incoming.withColumn("_at", F.col(arrival)).drop("id")
     # The last step meets rows that the join has dealt by the same keys: no further shuffle.
     return rows.join(ids, ["_at", "content_fp"]).dropDuplicates(["_at", "content_fp"]) \

@@ -31,15 +31,27 @@ def _marked(pages: DataFrame) -> DataFrame:
     return once(pages, markup=html.visible(F.col("html"))).select(*keep, "markup")
 
 
+def _marked_with_data(pages: DataFrame) -> DataFrame:
+    """Visible markup, and what the page's JSON-LD states, which is in its scripts."""
+    keep = [c for c in pages.columns if c != "html"]
+    return once(pages, markup=html.visible(F.col("html")), linked=html.linked_data(F.col("html"))) \
+        .select(*keep, "markup", "linked")
+
+
 def extract_text(pages: DataFrame) -> DataFrame:
     """Replace the page's HTML by its main text in Markdown."""
     return once(_marked(pages), content_md=html.markdown(F.col("markup"))).drop("markup")
 
 
+def _described(marked: DataFrame) -> DataFrame:
+    markup, linked = F.col("markup"), F.col("linked")
+    return once(marked, title=html.title(markup, linked), published=html.published(markup, linked)) \
+        .drop("markup", "linked")
+
+
 def extract_metadata(pages: DataFrame) -> DataFrame:
     """Replace the page's HTML by its title and date; '' where missing."""
-    return once(_marked(pages), title=html.title(F.col("markup")),
-                published=html.published(F.col("markup"))).drop("markup")
+    return _described(_marked_with_data(pages))
 
 
 def min_article_chars(df: DataFrame, min_chars: int = MIN_ARTICLE_CHARS) -> DataFrame:
@@ -52,9 +64,7 @@ def build_articles(pages: DataFrame, min_chars: int = MIN_ARTICLE_CHARS) -> Data
 
     Text first: pages that hold no article never reach the metadata step.
     """
-    with_text = once(_marked(pages), content_md=html.markdown(F.col("markup")))
-    articles = once(min_article_chars(with_text, min_chars),
-                    title=html.title(F.col("markup")), published=html.published(F.col("markup")))
-    return articles.select(
+    with_text = once(_marked_with_data(pages), content_md=html.markdown(F.col("markup")))
+    return _described(min_article_chars(with_text, min_chars)).select(
         "page_id", "url", urls.fingerprint(F.col("url")).alias("url_fp"), "title", "published",
         "content_md", F.sha1("content_md").alias("content_fp"))

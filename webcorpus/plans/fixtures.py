@@ -99,6 +99,42 @@ def link_pages(spark: SparkSession, sf: str) -> DataFrame:
                       html.alias("html"))
 
 
+def unmarked_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """D8: the stored pages without marked parts, with references of all kinds and JSON-LD.
+
+    Dates are in the JSON-LD alone, and so are the headlines of every fifth page. It comes as an object,
+    in an array behind a list of links, in a graph, and below the entity of a site.
+    """
+    page = F.col("page_id")
+    article = F.concat(F.lit('{"@type": ["Thing", "NewsArticle"], "headline": "Headline &#8470; '), page,
+                       F.lit('", "datePublished": "2024-'), F.lpad((page % 12 + 1).cast("string"), 2, "0"),
+                       F.lit('-03T08:00:00Z"}'))
+    crumbs = '{"@type": "BreadcrumbList", "itemListElement": [{"item": {"name": "Home", "dateCreated": "1999"}}]}'
+    data = F.when(page % 4 == 0, article) \
+        .when(page % 4 == 1, F.concat(F.lit(f"[{crumbs}, "), article, F.lit("]"))) \
+        .when(page % 4 == 2, F.concat(F.lit('{"@graph": ['), article, F.lit(f", {crumbs}]}}"))) \
+        .otherwise(F.concat(F.lit('{"@type": "WebSite", "mainEntity": '), article, F.lit("}")))
+    head = F.concat(F.lit("<script>broken {</script><script type='application/ld+json'>{broken</script>"
+                          '<script id=d type="application/ld+json">'), data, F.lit("</script></head>"))
+    bare = F.regexp_replace("html", "<(/?)(?:article|main|nav|footer)>", "<$1div>")
+    bare = F.replace(bare, F.lit("</title>"), F.lit(" &hellip &star;&#x2019</title>"))
+    bare = F.replace(bare, F.lit("</h1>"), F.lit(" It&#146;s &#8217 &check;&lbrace; &copy 2020 caf&eacute&notit;</h1>"))
+    untitled = F.regexp_replace(F.regexp_replace(bare, "(?s)<title>.*?</title>", ""), "<(/?)h1>", "<$1h2>")
+    return spread(pages(spark, sf)).select(
+        "page_id", "url", F.replace(F.when(page % 5 == 0, untitled).otherwise(bare), F.lit("</head>"), head).alias("html"))
+
+
+def page_runs(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """D9: the pages in the order of their collection: three parts, then every third one again elsewhere."""
+    stored = pages(spark, sf)
+    n = stored.agg(F.count("*")).scalar()
+    page = F.col("page_id")
+    parts = [stored.filter((page * 3 >= k * n) & (page * 3 < (k + 1) * n)) for k in range(3)]
+    again = stored.filter(page % 3 == 0).select(
+        (page + n).alias("page_id"), F.concat("url", F.lit("?again")).alias("url"), "html")
+    return [*parts, again]
+
+
 def raw_comment_pages(spark: SparkSession, sf: str) -> DataFrame:
     """D3: (post, page, body) with one JSON document per page, as stored by a collector.
 

@@ -87,23 +87,68 @@ def _entities(text: str) -> str:
     return f"replace({text}, '&amp;', '&')"
 
 
-def _markdown(markup: str) -> str:
-    def element(tag: str) -> str:
-        return rf"nullif(regexp_extract({markup}, '(?is)<{tag}\b[^>]*>.*</{tag}\s*>'), '')"
+def _bare(out: str, mark: str = "") -> str:
+    """Blocks and items on lines of their own, behind `mark`; no other tags; characters for references."""
+    for level in range(1, 7):
+        out = _sub(out, rf"(?i)<h{level}\b[^>]*(?:>|\z)", f"'{mark}' || chr(10) || chr(10) || '{'#' * level} '")
+    out = _sub(out, r"(?i)<li\b[^>]*(?:>|\z)", f"'{mark}' || chr(10) || '- '")
+    out = _sub(out, rf"(?i)</?(?:{_BLOCKS})\b[^>]*(?:>|\z)", f"'{mark}' || chr(10) || chr(10)")
+    return _entities(_sub(out, rf"<[A-Za-z/!?]{_TO_END}"))
 
-    out = f"coalesce({element('article')}, {element('main')}, {element('body')}, {markup})"
+
+def _without_asides(out: str) -> str:
     for tag in ("nav", "header", "footer", "aside", "form"):
         out = _sub(out, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>")
-    for level in range(1, 7):
-        out = _sub(out, rf"(?i)<h{level}\b[^>]*(?:>|\z)", f"chr(10) || chr(10) || '{'#' * level} '")
-    out = _sub(out, r"(?i)<li\b[^>]*(?:>|\z)", "chr(10) || '- '")
-    out = _sub(out, rf"(?i)</?(?:{_BLOCKS})\b[^>]*(?:>|\z)", "chr(10) || chr(10)")
-    out = _entities(_sub(out, rf"<[A-Za-z/!?]{_TO_END}"))
+    return out
+
+
+def _spaced(out: str) -> str:
     out = _sub(out, r"[ \t\r\f\v\x{a0}]+", "' '")
     out = _sub(_sub(out, r" ?\n ?", "chr(10)"), r"\n{3,}", "chr(10) || chr(10)")
     return f"trim({out}, chr(10) || ' ')"
 
 
+def _element(markup: str, tag: str) -> str:
+    return rf"nullif(regexp_extract({markup}, '(?is)<{tag}\b[^>]*>.*</{tag}\s*>'), '')"
+
+
+def _markdown(markup: str) -> str:
+    out = f"coalesce({_element(markup, 'article')}, {_element(markup, 'main')}, {_element(markup, 'body')}, {markup})"
+    return _spaced(_bare(_without_asides(out)))
+
+
+_SPACE = r"[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_WIDE = r"[^\x{3040}-\x{30ff}\x{3400}-\x{9fff}\x{ac00}-\x{d7af}]"
+
+
+def _letters(text: str) -> str:
+    return f"(length({_sub(text, _SPACE)}) + 2 * length({_sub(text, _WIDE)}))"
+
+
+def _runs(pages: str) -> str:
+    """Texts of pages that mark no article, from (page_id, markup): the best run of their blocks."""
+    body = _without_asides(f"coalesce({_element('markup', 'body')}, markup)")
+    linked = _sub(_sub(body, r"(?i)<a\s[^>]*\bhref[^>]*>", "chr(3)"), r"(?i)</a\s*>", "chr(4)")
+    said = _sub("block", rf"^(?:{_SPACE}|[#-])+|[\x03\x04]")
+    return rf"""cut AS (SELECT page_id, unnest(string_split(t, chr(2))) AS block, generate_subscripts(string_split(t, chr(2)), 1) AS k
+  FROM (SELECT page_id, {_bare(linked, chr(2))} AS t FROM {pages})),
+sized AS (SELECT page_id, block, k AS pos, {_letters(said)} AS n, regexp_matches(block, '^{_SPACE}*(?:#{{1,6}} |\z)') AS heading,
+  {_letters(r"array_to_string(regexp_extract_all(block, '\x03([^\x04]*)\x04', 1), '')")} AS linked FROM cut),
+sums AS (SELECT *, sum(CASE WHEN n = 0 THEN 0 ELSE n - 2 * linked - 60 END) OVER (PARTITION BY page_id ORDER BY pos) AS s FROM sized),
+lows AS (SELECT *, least(0, coalesce(min(s) OVER (PARTITION BY page_id ORDER BY pos
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS low FROM sums),
+ends AS (SELECT page_id, arg_min(pos, (-(s - low), pos)) AS last, max(s - low) AS best, arg_min(low, (-(s - low), pos)) AS low
+  FROM lows GROUP BY page_id),
+begins AS (SELECT e.page_id, e.last, e.best, 1 + coalesce(max(pos) FILTER (s = e.low AND pos < last), 0) AS first
+  FROM ends e JOIN sums USING (page_id) GROUP BY ALL),
+headed AS (SELECT b.page_id, b.best, b.last, 1 + coalesce(max(pos) FILTER (NOT heading AND pos < first), 0) AS first
+  FROM begins b JOIN sums USING (page_id) GROUP BY b.page_id, b.best, b.last),
+joined AS (SELECT page_id, string_agg(translate(block, chr(3) || chr(4), ''), '' ORDER BY pos)
+    FILTER (2 * linked <= n AND (best <= 0 OR pos BETWEEN first AND last)) AS t
+  FROM sums JOIN headed USING (page_id) GROUP BY page_id),
+runs AS (SELECT page_id, {_spaced("coalesce(t, '')")} AS content_md FROM {pages} LEFT JOIN joined USING (page_id))"""
+
+
 _BLANK = "' '"
 
 
@@ -171,6 +216,17 @@ l2 AS (SELECT DISTINCT dst AS url FROM edges JOIN l1 ON src = url
 frontier AS (SELECT url, sha1(url) AS url_fp, CAST(0 AS BIGINT) AS depth FROM l0
   UNION ALL SELECT url, sha1(url), 1 FROM l1 UNION ALL SELECT url, sha1(url), 2 FROM l2)"""
 
+_D8 = rf"""d8_bare AS (SELECT page_id, url, replace(replace(
+    regexp_replace(html, '<(/?)(?:article|main|nav|footer)>', '<\1div>', 'g'), '</title>', ' &hellip ☆’</title>'),
+    '</h1>', ' It’s ’ ✓{{ © 2020 café¬it;</h1>') AS html FROM pages),
+d8 AS (SELECT page_id, url, {_visible("CASE WHEN page_id % 5 = 0 THEN regexp_replace(regexp_replace(html, "
+    "'(?s)<title>.*?</title>', ''), '<(/?)h1>', '<\\1h2>', 'g') ELSE html END")} AS markup,
+  '2024-' || lpad(CAST(page_id % 12 + 1 AS VARCHAR), 2, '0') || '-03T08:00:00Z' AS published FROM d8_bare),
+{_runs('d8')},
+d8_texts AS (SELECT page_id, url, published, content_md,
+  CASE WHEN page_id % 5 = 0 THEN 'Headline № ' || page_id ELSE {_title('markup')} END AS title
+  FROM d8 JOIN runs USING (page_id))"""
+
 _D3 = """last AS (SELECT conv_id, max(turn) // 3 + 1 AS last_page FROM conversations GROUP BY conv_id),
 own AS (SELECT conv_id, turn, role, text, turn // 3 + 1 AS page FROM conversations),
 both_pages AS (SELECT * FROM own UNION ALL
@@ -281,6 +337,12 @@ def all_sql() -> dict[str, str]:
         "articles_sink": _with(_D1, """SELECT count(DISTINCT content_fp) AS stored,
           count(DISTINCT content_fp) AS contents, count(DISTINCT content_fp) AS last_id,
           count(DISTINCT content_fp) AS inserted, CAST(0 AS BIGINT) AS inserted_again FROM d1"""),
+        "articles_sink_runs": _with(f"""{_D1}, loads AS (
+            SELECT *, 1 AS load FROM d1 WHERE id % 3 <> 0 UNION ALL SELECT *, 2 FROM d1 WHERE id % 60 = 0
+            UNION ALL SELECT *, 3 FROM d1 WHERE id % 3 = 0 OR id % 100 = 1),
+          won AS (SELECT *, row_number() OVER (PARTITION BY content_fp ORDER BY load, id) AS rn FROM loads),
+          numbered AS (SELECT * EXCLUDE (id), row_number() OVER (ORDER BY load, id) AS id FROM won WHERE rn = 1)""",
+            f"SELECT {_STORE_COLUMNS} FROM numbered"),
         "message_sink": _with(_D1, f"SELECT {_JSON} AS value FROM d1"),
         "message_source": _with(_D1, "SELECT url, url_fp, title, published, content_fp FROM d1"),
         "comments_csv_sink": _with(_D3, "SELECT DISTINCT id, screen_name, region, text FROM d3"),
@@ -302,6 +364,10 @@ def all_sql() -> dict[str, str]:
           {_published('markup')} AS published FROM marked"""),
         "build_articles": _with(_ARTICLES, """SELECT page_id, url, url_fp, title, published, content_md,
           content_fp FROM made"""),
+        "extract_text_unmarked": _with(_D8, "SELECT page_id, content_md FROM d8_texts"),
+        "extract_metadata_linked": _with(_D8, "SELECT page_id, title, published FROM d8_texts"),
+        "build_articles_unmarked": _with(_D8, f"""SELECT page_id, url, sha1({_norm('url')}) AS url_fp, title,
+          published, content_md, sha1(content_md) AS content_fp FROM d8_texts WHERE length(content_md) >= 50"""),
         "article_messages": _with(_D1, f"SELECT content_fp AS key, {_JSON} AS value FROM d1"),
         "article_rows": _with(_D1, f"""SELECT {_LIST}, length(content_md) AS content_len,
           strftime(crawled_at, '%Y-%m-%d %H:%M') AS crawled_at FROM d1"""),
@@ -425,7 +491,10 @@ def all_sql() -> dict[str, str]:
         # streaming
         "stream_ingest": _with(_ARTICLES, """SELECT row_number() OVER (ORDER BY page_id) AS id, url,
           url_fp, title, published, content_fp FROM good"""),
-        "stream_dedupe": _with(_D1, "SELECT DISTINCT content_fp FROM d1"),
+        "stream_ingest_runs": _with(_ARTICLES, """SELECT row_number() OVER (ORDER BY page_id) AS id, url,
+          url_fp, title, published, content_fp FROM good"""),
+        "stream_dedupe": _with(_D1, """SELECT arg_min(id, (id // 64 % 4, id)) AS id, content_fp
+          FROM d1 GROUP BY content_fp"""),
         "stream_consume": _with(_D1, """SELECT CASE WHEN title = '' THEN '(无标题)' ELSE title END
           AS title, url FROM d1"""),
         "stream_stats": _with(f"{_D1}, {_TOTALS}, {_TOP}, {_TREND}", """

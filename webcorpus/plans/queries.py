@@ -18,6 +18,7 @@ from webcorpus.sources import articles as article_io
 from webcorpus.sources import comments as comment_io
 from webcorpus.sources import messages as message_io
 from webcorpus.sources import seeds as seed_io
+from webcorpus.sources.store import KeyedTable
 from webcorpus.streaming import ingest, messages as consumers, stats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,6 +177,17 @@ def _(spark, sf):
              F.lit(again).cast("long").alias("inserted_again"))
 
 
+@query("articles_sink_runs")
+def _(spark, sf):
+    """A large load, two small ones with contents of the first among theirs, and a compaction."""
+    path = fresh_dir(spark, "store")
+    articles = fx.articles(spark, sf)
+    for part in ("id % 3 <> 0", "id % 60 = 0", "id % 3 = 0 OR id % 100 = 1"):
+        article_io.articles_sink(articles.filter(part), path, "id")
+    article_io.article_table(spark, path).compact()
+    return _as_store(article_io.articles_source(spark, path))
+
+
 def _published(spark: SparkSession, sf: str) -> str:
     path = fresh_dir(spark, "topic")
     message_io.message_sink(_document_stream(spark, sf), fresh_dir(spark, "checkpoint"),
@@ -277,6 +289,21 @@ def _(spark, sf):
     return extract.build_articles(fx.pages_to_extract(spark, sf))
 
 
+@query("extract_text_unmarked")
+def _(spark, sf):
+    return extract.extract_text(fx.unmarked_pages(spark, sf)).select("page_id", "content_md")
+
+
+@query("extract_metadata_linked")
+def _(spark, sf):
+    return extract.extract_metadata(fx.unmarked_pages(spark, sf)).select("page_id", "title", "published")
+
+
+@query("build_articles_unmarked")
+def _(spark, sf):
+    return extract.build_articles(fx.unmarked_pages(spark, sf))
+
+
 @query("article_messages")
 def _(spark, sf):
     return messages.article_messages(fx.articles(spark, sf))
@@ -610,15 +637,29 @@ def _(spark, sf):
         "id", "url", "url_fp", "title", "published", "content_fp")
 
 
+@query("stream_ingest_runs")
+def _(spark, sf):
+    """Four batches: the pages in three parts, then copies of every third page under other addresses."""
+    source, store = fresh_dir(spark, "pages"), fresh_dir(spark, "store")
+    for part in fx.page_runs(spark, sf):
+        part.coalesce(1).write.mode("append").parquet(source)
+    stream = article_io.pages_stream(spark, source, files_per_batch=1)
+    ingest.stream_ingest(stream, store, fresh_dir(spark, "checkpoint")).awaitTermination()
+    article_io.article_table(spark, store).compact()
+    return article_io.articles_source(spark, store).select(
+        "id", "url", "url_fp", "title", "published", "content_fp")
+
+
 @query("stream_dedupe")
 def _(spark, sf):
     source, out = fresh_dir(spark, "articles"), fresh_dir(spark, "unique")
     rows = fx.articles(spark, sf).select("id", "url", "content_fp")
-    rows.repartition(3).write.parquet(source)
+    for part in range(4):  # files of their own, one after the other
+        rows.filter((F.floor(F.col("id") / 64) % 4 == part)).coalesce(1).write.mode("append").parquet(source)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
     ingest.stream_dedupe(stream, "content_fp", "id", out,
                          fresh_dir(spark, "checkpoint")).awaitTermination()
-    return spark.read.schema(rows.schema).parquet(out).select("content_fp")
+    return KeyedTable(spark, out, rows.schema, "content_fp").rows().select("id", "content_fp")
 
 
 @query("stream_consume")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webcorpus import schemas
-from webcorpus.operators.dedupe import insert_if_absent
+from webcorpus.operators.dedupe import arrivals, numbered
+from webcorpus.operators.numbering import assign_ids
 from webcorpus.sources.files import exists, spread
+from webcorpus.sources.store import BUCKETS, KeyedTable
 
 
 def pages_source(spark: SparkSession, path: str) -> DataFrame:
@@ -36,10 +40,21 @@ def articles_ddl(spark: SparkSession, name: str, location: str) -> None:
               f"LOCATION '{location}'")
 
 
+def article_table(spark: SparkSession, path: str, buckets: int = BUCKETS) -> KeyedTable:
+    """The store below `path`, keyed by content."""
+    return KeyedTable(spark, path, schemas.ARTICLE, "content_fp", buckets)
+
+
 def articles_source(spark: SparkSession, name_or_path: str) -> DataFrame:
-    """The store, by table name or by folder; an empty frame while the folder holds nothing."""
+    """The store, by table name or by folder; an empty frame while the folder holds nothing.
+
+    A folder may hold a keyed store or plain files.
+    """
     if "/" not in name_or_path:
         return spark.table(name_or_path)
+    table = article_table(spark, name_or_path)
+    if table.exists():
+        return table.rows()
     if not exists(spark, name_or_path):
         return spark.createDataFrame([], schemas.ARTICLE)
     return spark.read.schema(schemas.ARTICLE).parquet(name_or_path)
@@ -53,16 +68,26 @@ def articles_jdbc(spark: SparkSession, url: str, table: str = "articles", partit
         upperBound=str(upper), numPartitions=str(partitions), **options).load()
 
 
-def articles_sink(incoming: DataFrame, path: str, arrival: str) -> int:
+def articles_stream(spark: SparkSession, path: str) -> DataFrame:
+    """What is added to the store, as a stream. Files that a compaction writes come once more."""
+    return spark.readStream.schema(schemas.ARTICLE).parquet(path).select(schemas.ARTICLE_FIELDS)
+
+
+def articles_sink(incoming: DataFrame, path: str, arrival: str, buckets: int = BUCKETS) -> int:
     """Append what is new to the store below `path`; returns the number of rows inserted.
 
     One writer at a time. A replay inserts nothing, because the store itself is the set of
-    known contents.
+    known contents. The store is read in the buckets that `incoming` falls in, and there only its
+    fingerprints; ids go on from the number kept beside it. `incoming` is read twice, for its
+    fingerprints and for the rows that win: hand in a stored or cached frame.
     """
-    spark = incoming.sparkSession
+    table = article_table(incoming.sparkSession, path, buckets)
     if "crawled_at" not in incoming.columns:
         incoming = incoming.withColumn("crawled_at", F.current_timestamp())
-    target = articles_source(spark, path)
-    before = target.count()
-    insert_if_absent(target, incoming, arrival).write.mode("append").parquet(path)
-    return articles_source(spark, path).count() - before
+    state = table.state()
+    fresh = table.unseen(arrivals(incoming, arrival), "_at", state)
+    ids = assign_ids(fresh, ["_at", "content_fp"], state.last)
+    inserted = ids.count()
+    if inserted:
+        table.append(numbered(incoming, arrival, ids), replace(state, last=state.last + inserted))
+    return inserted

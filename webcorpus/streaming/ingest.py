@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from webcorpus.operators.dedupe import first_wins, insert_if_absent, known_of, not_in
 from webcorpus.operators.extract import build_articles
 from webcorpus.operators.quality import QualityRules, quality_filter
-from webcorpus.sources.articles import articles_source
-from webcorpus.sources.files import exists, spread
+from webcorpus.sources.articles import articles_sink
+from webcorpus.sources.files import spread
+from webcorpus.sources.store import BUCKETS, KeyedTable
 
 _ONCE = {"availableNow": True}
 
@@ -35,33 +35,30 @@ def _cached(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
-def stream_ingest(pages: DataFrame, path: str, checkpoint: str,
-                  rules: QualityRules | None = None, trigger: dict | None = None) -> StreamingQuery:
+def stream_ingest(pages: DataFrame, path: str, checkpoint: str, rules: QualityRules | None = None,
+                  trigger: dict | None = None, buckets: int = BUCKETS) -> StreamingQuery:
     """Stream of pages -> articles -> quality rules -> insert-if-absent into the store at `path`.
 
     One query per store: batches are serial, so check and append cannot race. A replayed batch
-    finds its contents stored and appends nothing.
+    finds its contents stored and appends nothing. A batch reads the store in its own buckets only.
     """
     def write(batch: DataFrame) -> None:
         articles = quality_filter(build_articles(spread(batch)), rules)
         with _cached(articles.withColumn("crawled_at", F.current_timestamp())) as fresh:
-            stored = articles_source(batch.sparkSession, path)
-            known = known_of(fresh, stored, "content_fp")
-            insert_if_absent(stored, fresh, "page_id", known).write.mode("append").parquet(path)
+            articles_sink(fresh, path, "page_id", buckets)
 
     return _per_batch(pages, write, checkpoint, trigger)
 
 
 def stream_dedupe(rows: DataFrame, key: str, arrival: str, path: str, checkpoint: str,
-                  trigger: dict | None = None) -> StreamingQuery:
-    """Append the first row of every key to the folder `path`, across batches and restarts."""
+                  trigger: dict | None = None, buckets: int = BUCKETS) -> StreamingQuery:
+    """Append the first row of every key to the keyed table at `path`, across batches and restarts."""
+    schema = rows.schema
+
     def write(batch: DataFrame) -> None:
-        with _cached(batch) as fresh:
-            first = first_wins(fresh, key, arrival)
-            if exists(batch.sparkSession, path):
-                stored = batch.sparkSession.read.schema(batch.schema).parquet(path)
-                first = not_in(first, key, known_of(fresh, stored, key))
-            first.write.mode("append").parquet(path)
+        table = KeyedTable(batch.sparkSession, path, schema, key, buckets)
+        state = table.state()
+        table.append(table.unseen(batch, arrival, state), state)
 
     return _per_batch(rows, write, checkpoint, trigger)
 
