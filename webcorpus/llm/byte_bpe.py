@@ -11,10 +11,9 @@ from __future__ import annotations
 import base64
 import re
 from array import array
-from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 from itertools import islice
 
 import numpy as np
@@ -24,11 +23,14 @@ from pyspark.sql import DataFrame
 from webcorpus.llm.common import map_batches, pieces
 
 # Bytes of new words that one replay takes (a longer word alone is one replay).
-BLOCK = 1 << 20
-# Words whose ids a task keeps, and characters of the words it keeps.
-KEPT, KEPT_CHARS = 1 << 19, 1 << 6
-# Words of a text that are looked up together.
-RUN = 1 << 16
+BLOCK = 1 << 22
+# Characters of texts whose new words are replayed together (a longer text alone is one block).
+TEXTS = 1 << 24
+# Words whose ids a task keeps from one block of texts to the next.
+KEPT = 1 << 19
+# Words of a text that are numbered together, and places of a rank that are worth whole arrays.
+RUN, WIDE = 1 << 16, 48
+NONE = np.iinfo(np.int32).max
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -74,135 +76,203 @@ class Merges:
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks, self.size = ranks, max(ranks.values()) + 1
-        self.of_byte = [ranks[bytes([b])] for b in range(256)]
+        self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.pairs: dict[int, int] = {}
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
                     self.pairs[left * self.size + right] = rank
+        self.keys = np.array(sorted(self.pairs), dtype=np.int64)
+        self.values = np.array([self.pairs[k] for k in self.keys.tolist()], dtype=np.int32)
 
-    def replay(self, words: list[bytes]) -> list[array]:
-        """Token ids of each of the words, which are not empty.
-
-        Every place of a pair that some rank joins is listed under this rank. The lowest listed rank
-        is applied to its places from left to right; a place that has changed since is passed over.
-        Should a merge make a pair of a lower rank, this one comes first: the word's further places
-        go back to the list.
-        """
-        size, pairs = self.size, self.pairs
-        data = b"".join(words)
-        ids = array("i", map(self.of_byte.__getitem__, data))
-        starts = array("i", [0])
-        for word in words:
-            starts.append(starts[-1] + len(word))
-        after, before = array("i", range(1, len(data) + 1)), array("i", range(-1, len(data) - 1))
-        for start in starts[:-1]:
-            before[start] = -1
-            after[start - 1] = -1  # the end of the word before it, for the first word that of the last
-        index: dict[int, array] = {}
-        for place, following in enumerate(after):
-            if following > 0:
-                rank = pairs.get(ids[place] * size + ids[following])
-                if rank is not None:
-                    index.setdefault(rank, array("i")).append(place)
-        heap = list(index)
-        heapify(heap)
-        while heap:
-            rank = heappop(heap)
-            held, wait = 0, array("i")
-            for place in sorted(index.pop(rank)):
-                following = after[place]
-                if (ids[place] < 0 or following < 0
-                        or pairs.get(ids[place] * size + ids[following]) != rank):
-                    continue
-                if place < held:
-                    wait.append(place)
-                    continue
-                ids[place], ids[following] = rank, -1
-                beyond = after[place] = after[following]
-                touched = []
-                if beyond >= 0:
-                    before[beyond] = place
-                    touched.append((place, rank * size + ids[beyond]))
-                if before[place] >= 0:
-                    touched.append((before[place], ids[before[place]] * size + rank))
-                for at, pair in touched:
-                    made = pairs.get(pair)
-                    if made is not None:
-                        if made not in index:
-                            index[made] = array("i")
-                            heappush(heap, made)
-                        index[made].append(at)
-                        if made < rank:
-                            held = starts[bisect_right(starts, place)]
-            if wait:
-                if rank in index:
-                    index[rank].extend(wait)
-                else:
-                    index[rank] = wait
-                    heappush(heap, rank)
-        kept = np.frombuffer(ids, dtype=np.int32)
-        sums = np.concatenate([[0], np.cumsum(kept >= 0)])[np.frombuffer(starts, dtype=np.int32)]
-        kept = kept[kept >= 0]
-        return [kept[a:b].tobytes() for a, b in zip(sums[:-1].tolist(), sums[1:].tolist())]
+    def joined(self, left: np.ndarray | int, right: np.ndarray) -> np.ndarray:
+        """Rank that joins each pair of tokens, NONE where there is none."""
+        if not len(self.keys):
+            return np.full(len(right), NONE, dtype=np.int32)
+        wanted = np.int64(self.size) * left + right
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.values[at], NONE)
+
+    def replay(self, words: list[bytes]) -> list[bytes]:
+        """Token ids of each of the words, which are not empty, as bytes of 32-bit integers."""
+        return _Replay(self, words).run()
+
+
+class _Replay:
+    """Merges over words set side by side.
+
+    An index holds, for every rank, the places of the pairs that it joins. The lowest rank is applied to
+    its places from left to right; a place that has changed since is passed over, and a merge looks
+    at the two pairs it makes. Should one of these have a lower rank, it comes first: the word's
+    further places go back to the index.
+    """
+
+    def __init__(self, merges: Merges, words: list[bytes]) -> None:
+        self.merges = merges
+        sizes = np.array([len(w) for w in words], dtype=np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        total = int(self.starts[-1])
+        data = np.frombuffer(b"".join(words), dtype=np.uint8)
+        # The same memory as arrays for single places and for many.
+        self.ids = array("i", merges.of_byte[data].tobytes())
+        self.after = array("i", np.arange(1, total + 1, dtype=np.int32).tobytes())
+        self.before = array("i", np.arange(-1, total - 1, dtype=np.int32).tobytes())
+        self.all_ids, self.all_after, self.all_before = (
+            np.frombuffer(x, dtype=np.int32) for x in (self.ids, self.after, self.before))
+        self.all_after[self.starts[1:] - 1] = -1
+        self.all_before[self.starts[:-1]] = -1
+        self.word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+        self.index: dict[int, array] = {}
+        self.heap: list[int] = []
+
+    def _list(self, ranks: np.ndarray, places: np.ndarray) -> None:
+        """Put places under the ranks that join their pairs."""
+        some = ranks != NONE
+        ranks, places = ranks[some], places[some]
+        if not len(ranks):
+            return
+        order = np.argsort(ranks, kind="stable")
+        ranks, held = ranks[order], memoryview(places[order].astype(np.int32).tobytes())
+        cuts = [0, *(np.flatnonzero(np.diff(ranks)) + 1).tolist(), len(ranks)]
+        for rank, a, b in zip(ranks[cuts[:-1]].tolist(), cuts, cuts[1:]):
+            if rank not in self.index:
+                self.index[rank] = array("i")
+                heappush(self.heap, rank)
+            self.index[rank].frombytes(held[4 * a:4 * b])
+
+    def _apply_all(self, rank: int, places: np.ndarray) -> list[int]:
+        """Apply a rank to many places at once; returns those whose words need one step at a time."""
+        ids, after, before = self.all_ids, self.all_after, self.all_before
+        following = after[places]
+        good = (ids[places] >= 0) & (following >= 0)
+        places, following = places[good], following[good]
+        good = self.merges.joined(ids[places], ids[following]) == rank
+        places, following = places[good], following[good]
+        beyond, prior = after[following], before[places]
+        right = np.where(beyond >= 0, self.merges.joined(rank, ids[beyond]), NONE)
+        left = np.where(prior >= 0, self.merges.joined(ids[prior], np.int64(rank)), NONE)
+        careful = (right < rank) | (left < rank)
+        near = (following[:-1] == places[1:]) | (beyond[:-1] == places[1:])
+        careful[1:] |= near
+        careful[:-1] |= near
+        apart: list[int] = []
+        if careful.any():
+            held = np.isin(self.word[places], self.word[places[careful]])
+            apart, free = places[held].tolist(), ~held
+            places, following, beyond, prior = places[free], following[free], beyond[free], prior[free]
+            right, left = right[free], left[free]
+        ids[places], ids[following], after[places] = rank, -1, beyond
+        inner = beyond >= 0
+        before[beyond[inner]] = places[inner]
+        self._list(np.concatenate([right, left]), np.concatenate([places, prior]))
+        return apart
+
+    def _apply(self, rank: int, places: list[int]) -> None:
+        """Apply a rank to places in ascending order, one at a time."""
+        ids, after, before, pairs, size = self.ids, self.after, self.before, self.merges.pairs, self.merges.size
+        held = 0
+        for place in places:
+            following = after[place]
+            if (ids[place] < 0 or following < 0
+                    or pairs.get(ids[place] * size + ids[following]) != rank):
+                continue
+            if place < held:
+                self._wait(rank, place)
+                continue
+            ids[place], ids[following] = rank, -1
+            beyond = after[place] = after[following]
+            touched = []
+            if beyond >= 0:
+                before[beyond] = place
+                touched.append((place, rank * size + ids[beyond]))
+            if before[place] >= 0:
+                touched.append((before[place], ids[before[place]] * size + rank))
+            for at, pair in touched:
+                made = pairs.get(pair)
+                if made is not None:
+                    self._wait(made, at)
+                    if made < rank:
+                        held = int(self.starts[self.word[place] + 1])
+
+    def _wait(self, rank: int, place: int) -> None:
+        if rank not in self.index:
+            self.index[rank] = array("i")
+            heappush(self.heap, rank)
+        self.index[rank].append(place)
+
+    def run(self) -> list[bytes]:
+        first = np.flatnonzero(self.all_after >= 0)
+        self._list(self.merges.joined(self.all_ids[first], self.all_ids[first + 1]), first)
+        while self.heap:
+            rank = heappop(self.heap)
+            places = self.index.pop(rank)
+            if len(places) >= WIDE:
+                self._apply(rank, self._apply_all(rank, np.unique(np.frombuffer(places, dtype=np.int32))))
+            else:
+                self._apply(rank, sorted(places))
+        kept = np.concatenate([[0], np.cumsum(self.all_ids >= 0)])[self.starts].tolist()
+        ids = memoryview(self.all_ids[self.all_ids >= 0].tobytes())
+        return [bytes(ids[4 * a:4 * b]) for a, b in zip(kept, kept[1:])]
 
 
 class Encoder:
-    """Ids of texts; keeps those of short words it has met, up to KEPT of them."""
+    """Ids of texts; keeps those of the words it has met, up to KEPT of them."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.merges = Merges(ranks)
         self.patterns = [(chr(last), _spelled(pattern, last)) for last in (0x7F, 0xFFFF, 0x10FFFF)]
-        self.known: dict[str, bytes] = {}
+        self.number: dict[str, int] = {}
+        self.ids: list[bytes] = []
 
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words not met before, as bytes of 32-bit integers."""
-        made: dict[str, bytes] = {}
-        block, held = [], 0
+    def _learn(self, words: list[str]) -> None:
+        """Ids of words not met before, in the order of their numbers."""
+        block: list[tuple[int, bytes]] = []
+        held = 0
         for word in [*words, None]:
-            if word is None or held > BLOCK:
-                if block:
-                    made.update(zip(block, self.merges.replay([w.encode() for w in block])))
+            coded = b"" if word is None else word.encode()
+            if block and (word is None or held + len(coded) > BLOCK):
+                for (k, _), made in zip(block, self.merges.replay([w for _, w in block])):
+                    self.ids[k] = made
                 block, held = [], 0
             if word is not None:
-                whole = self.merges.ranks.get(word.encode())
-                if whole is not None:  # a word that is a token is this token
-                    made[word] = np.int32(whole).tobytes()
-                else:
-                    block.append(word)
-                    held += 4 * len(word)
-        return made
+                whole = self.merges.ranks.get(coded)  # a word that is a token is this token
+                self.ids.append(b"" if whole is None else np.int32(whole).tobytes())
+                if whole is None:
+                    block.append((len(self.ids) - 1, coded))
+                    held += len(coded)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes of 32-bit integers."""
-        made: list[list[bytes]] = [[] for _ in texts]
-        runs: list[tuple[int, list[str]]] = []
-        held = 0
-        for k, text in enumerate(texts):
+        if len(self.number) > KEPT:
+            self.number, self.ids = {}, []
+        number, new, made = self.number, [], []
+        for text in texts:
             highest = "" if text.isascii() else max(text)
             cut = next(p for last, p in self.patterns if highest <= last)  # few ranges match faster
             found = (m.group() for m in cut.finditer(text))
+            numbers = array("i")
             while run := list(islice(found, RUN)):
-                runs.append((k, run))
-                held += len(run)
-                if held >= RUN:
-                    self._look_up(runs, made)
-                    runs, held = [], 0
-        self._look_up(runs, made)
-        return [b"".join(parts) for parts in made]
-
-    def _look_up(self, runs: list[tuple[int, list[str]]], made: list[list[bytes]]) -> None:
-        if len(self.known) > KEPT:
-            self.known.clear()
-        known = self.known
-        new = self._learn(set().union(*(run for _, run in runs)).difference(known))
-        known.update(new)
-        for k, run in runs:
-            made[k].append(b"".join(map(known.__getitem__, run)))
-        for word in new:
-            if len(word) > KEPT_CHARS:
-                del known[word]
+                for word in set(run).difference(number):
+                    number[word] = len(number)
+                    new.append(word)
+                numbers.extend(map(number.__getitem__, run))
+            made.append(numbers)
+        self._learn(new)
+        return [b"".join(map(self.ids.__getitem__, numbers)) for numbers in made]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Rows and their texts, up to TEXTS characters together."""
+    for batch in batches:
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        start, held = 0, 0
+        for k, text in enumerate(texts):
+            if held and held + len(text) > TEXTS:
+                yield batch.slice(start, k - start), texts[start:k]
+                start, held = k, 0
+            held += len(text)
+        yield batch.slice(start), texts[start:]
 
 
 @cache
@@ -223,13 +293,13 @@ def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     separately, and what it does not match is left out. Special tokens are ordinary text here. A null
     or empty text has no ids; doc_id may be null or of any type; other columns are not read; no rows
     give no rows. Pairs of one rank in a word are joined from left to right. A text of any length is
-    cut and looked up in runs of words, and a word of any length costs time in proportion to its
-    length (times its logarithm) and some 30 bytes of memory for each of its own.
+    cut into words in runs, and a word of any length costs time in proportion to its length (times its
+    logarithm) and some 30 bytes of memory for each of its own.
     """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, pattern)
-        for batch in pieces(batches):
-            ids = encoder([t or "" for t in batch.column("text").to_pylist()])
+        for batch, texts in _blocks(batches):
+            ids = encoder(texts)
             ends = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32)
             values = pa.array(np.frombuffer(b"".join(ids), dtype=np.int32))
             yield pa.RecordBatch.from_pydict({
