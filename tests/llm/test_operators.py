@@ -45,7 +45,6 @@ def test_query_against_sql(spark, db, name):
     lambda s, d: token_counts.token_counts(d, tokenizer("word_bpe_49k.json")),
     lambda s, d: mixing.mix(d),
     lambda s, d: fertility.quality(d, tokenizer("piece_bpe_32k.model")),
-    lambda s, d: decontaminate.contaminated(d, items(s)).select("doc_id").union(d.select("doc_id")).limit(len(ODD)),
     lambda s, d: line_dedup.line_dedup(d),
     lambda s, d: simhash.simhash_components(d),
     lambda s, d: toxicity.toxicity(d, labels(s)),
@@ -264,22 +263,6 @@ def test_keep_one_leaves_other_texts_of_an_id(spark):
     assert {tuple(r) for r in got} == {rows[0], rows[2], rows[4], rows[5]}
 
 
-def test_near_copies_many_bits_apart(spark):
-    rng = random.Random(13)
-    word = lambda: f"w{rng.randrange(5000)}"
-    rows, far = [], 0
-    for k in range(80):
-        words = [word() for _ in range(rng.choice([120, 400]))]
-        near = words[:3] + [word()] + words[4:] + [word() for _ in range(len(words) // 20)]
-        apart = [w if j % 8 else word() for j, w in enumerate(words)]
-        rows += [(3 * k, " ".join(words)), (3 * k + 1, " ".join(near)), (3 * k + 2, " ".join(apart))]
-        far += (simhash.fingerprint_of(rows[-3][1], 3) ^ simhash.fingerprint_of(rows[-2][1], 3)).bit_count() > 2
-    rows += [(1000 + k, rows[0][1] + f" tail{k}") for k in range(60)]  # a crowded key
-    assert far > 60
-    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert kept == {d for d, _ in rows if d < 240 and d % 3 != 1}
-
-
 def test_factors_learn_what_linear_weights_miss():
     rng = np.random.default_rng(1)
     x = (rng.random((1500, 6)) < 0.4).astype(float)

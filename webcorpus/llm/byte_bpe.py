@@ -23,11 +23,11 @@ from pyspark.sql import DataFrame
 from webcorpus.llm.common import map_batches, pieces
 
 # Bytes of new words that one replay takes (a longer word alone is one replay).
-BLOCK = 1 << 22
+BLOCK = 1 << 21
 # Characters of texts whose new words are replayed together (a longer text alone is one block).
-TEXTS = 1 << 24
+TEXTS = 1 << 23
 # Words whose ids a task keeps from one block of texts to the next.
-KEPT = 1 << 19
+KEPT = 3 << 17
 # Words of a text that are numbered together, and places of a rank that are worth whole arrays.
 RUN, WIDE = 1 << 16, 48
 NONE = np.iinfo(np.int32).max

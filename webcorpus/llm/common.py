@@ -60,6 +60,18 @@ def prefix_sums(df: DataFrame, keys: list[str], order: list[Column], name: str,
         (F.col(f"s._b_{out}") + F.col(f"r._i_{out}")).alias(out) for out in values])
 
 
+def without_rows(documents: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents but for the rows that `gone` lists as (doc_id, th), th being the text's hash.
+
+    Rows are held as one value in between, so that no column's name can clash.
+    """
+    held = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    listed = gone.select(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th"))
+    kept = held.join(listed, F.col("row.doc_id").eqNullSafe(F.col("gone_id"))
+                     & (F.xxhash64("row.text") == F.col("gone_th")), "left_anti")
+    return kept.select(*[F.col("row")[c].alias(c) for c in documents.columns])
+
+
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into smaller ones, so that working memory follows few texts only."""
     for batch in batches:

@@ -16,8 +16,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType, LongType, StructType
 
-from webcorpus.llm.common import map_batches, pieces
+from webcorpus.llm.common import map_batches, pieces, without_rows
 from webcorpus.session import written
 
 Q = 12
@@ -193,8 +195,9 @@ def _blocks(benchmark: DataFrame, q: int, size: int) -> Iterator[list[tuple]]:
         yield [(r.item_id, t) for r in rows if len(t := normal(r.text)) >= q]
 
 
-def _matched(documents: DataFrame, block: list[tuple[int, str]], q: int, edits: float,
-             kind: str) -> DataFrame:
+def _matched(documents: DataFrame, block: list[tuple], q: int, edits: float, item_type: DataType) -> DataFrame:
+    """The columns of `documents` but the text, and (item_id, begin, end, edits) of each region found."""
+    arrow_type = to_arrow_type(item_type)
     shared = documents.sparkSession.sparkContext.broadcast(block)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,10 +209,13 @@ def _matched(documents: DataFrame, block: list[tuple[int, str]], q: int, edits:
                 at, item, begin, end, off = zip(*rows)
                 yield pa.RecordBatch.from_pydict({
                     **{c: batch.column(c).take(pa.array(at)) for c in batch.schema.names if c != "text"},
-                    "item_id": pa.array(item, pa.int64()), "begin": pa.array(begin, pa.int64()),
+                    "item_id": pa.array(item, arrow_type), "begin": pa.array(begin, pa.int64()),
                     "end": pa.array(end, pa.int64()), "edits": pa.array(off, pa.int64())})
 
-    return map_batches(documents, scan, f"{kind}, item_id long, begin long, end long, edits long")
+    schema = StructType([f for f in documents.schema if f.name != "text"]).add("item_id", item_type)
+    for name in ("begin", "end", "edits"):
+        schema = schema.add(name, LongType())
+    return map_batches(documents, scan, schema)
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, q: int = Q, edits: float = EDITS,
@@ -222,10 +228,10 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, q: int = Q, edits:
     allows for `q`). Items of fewer than `q` characters, empty or null ones are too short to be told
     from ordinary language and match nothing. Null and empty texts have no rows; repeated documents
     have theirs each; repeated items too. An item's repeats in a text are told apart by place.
-    Without items the result is empty. Other columns are not read.
+    Without items the result is empty. Ids may be of any type. Texts of any
+    length are scanned whole; of equal alignments the one that ends first counts. Other columns are not read.
     """
-    kind = f"doc_id {documents.schema['doc_id'].dataType.simpleString()}"
-    rows = documents.select("doc_id", "text")
+    rows, kind = documents.select("doc_id", "text"), benchmark.schema["item_id"].dataType
     found = [_matched(rows, items, q, edits, kind) for items in _blocks(benchmark, q, block)]
     if not found:
         found = [_matched(rows.limit(0), [], q, edits, kind)]
@@ -237,14 +243,13 @@ def clean(documents: DataFrame, benchmark: DataFrame, q: int = Q, edits: float =
     """The documents in which no benchmark item is found, all columns.
 
     Rows are told by (doc_id, hash of the text): every copy of a contaminated row goes. The texts
-    are read once for the search and once more here; only keys of contaminated rows move.
+    are read once for the search and once more here; only keys of contaminated rows move. Columns of
+    any name are kept as they are.
     """
-    th = F.xxhash64("text")
-    keyed = documents.select(F.col("doc_id").alias("_id"), th.alias("_th"), "text")
-    kind = f"_id {documents.schema['doc_id'].dataType.simpleString()}, _th long"
+    keyed = documents.select("doc_id", F.xxhash64("text").alias("th"), "text")
+    kind = benchmark.schema["item_id"].dataType
     found = [_matched(keyed, items, q, edits, kind) for items in _blocks(benchmark, q, block)]
     if not found:
         return documents
-    gone = written(reduce(DataFrame.unionByName, found).select("_id", "_th").distinct(), "leaks")
-    return documents.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (th == F.col("_th")),
-                          "left_anti")
+    gone = written(reduce(DataFrame.unionByName, found).select("doc_id", "th").distinct(), "leaks")
+    return without_rows(documents, gone)

@@ -76,7 +76,8 @@ def line_dedup(documents: DataFrame, short: bool = False) -> DataFrame:
     Null texts stay as they are, and so do texts of fewer than three lines, unless `short` makes all
     lines of such a text one window. Rows without a doc_id come
     last in the order. Rows with the same doc_id and text are one document: they lose the same
-    lines. A text may end up empty. All columns of `documents` are kept, `text` changed.
+    lines. A text may end up empty, one of any length is read whole, and no documents give none. All
+    columns of `documents` are kept, `text` changed, but for one that is named `n_removed`.
 
     Hot windows are never gathered: counting them combines before the shuffle, and the join that
     finds their later places is between two stored tables, which adaptive execution can split.
@@ -92,15 +93,15 @@ def line_dedup(documents: DataFrame, short: bool = False) -> DataFrame:
     later = again.join(first, ["h1", "h2"]).filter(F.col("place") > F.col("first"))
     covered = written(later.select("place.doc_id", "place.th", "place.at").groupBy("doc_id", "th")
                       .agg(F.sort_array(F.collect_set("at")).alias("starts")), "covered")
-    joined = documents.alias("d").join(
-        covered.hint("shuffle_merge").alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id"))
-        & (F.xxhash64("d.text") == F.col("c.th")), "left")
-    changed = once(joined.select("d.*", F.col("c.starts").alias("_starts")), _text=F.when(
-        F.col("_starts").isNull(), F.col("text")).otherwise(
-            _without(F.col("text"), F.col("_starts"))))
+    # The row is held as one value, so that no column's name can clash.
+    held = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    joined = held.join(covered.hint("shuffle_merge"), F.col("row.doc_id").eqNullSafe(F.col("doc_id"))
+                       & (F.xxhash64("row.text") == F.col("th")), "left")
+    changed = once(joined.select("row", "starts"), changed=F.when(
+        F.col("starts").isNull(), F.col("row.text")).otherwise(_without(F.col("row.text"), F.col("starts"))))
     return changed.select(
-        *[F.col("_text").alias(c) if c == "text" else F.col(f"`{c}`") for c in documents.columns],
-        F.coalesce(F.size("_starts"), F.lit(0)).alias("n_removed"))
+        *[(F.col("changed") if c == "text" else F.col("row")[c]).alias(c) for c in documents.columns if c != "n_removed"],
+        F.coalesce(F.size("starts"), F.lit(0)).alias("n_removed"))
 
 
 SQL = r"""

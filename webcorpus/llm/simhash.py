@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webcorpus.llm.common import map_batches, pieces
+from webcorpus.llm.common import map_batches, pieces, without_rows
 from webcorpus.llm.components import components
 from webcorpus.session import written
 
@@ -25,12 +25,6 @@ SEED = 42
 DISTANCE = 2
 # A segment value with more distinct fingerprints than this is crowded.
 CROWDED = 512
-# Wide search: words of a shingle, least share of common shingles, shingle hashes kept of a text,
-# min-hashes of a key, keys of a text. Texts at the least share have a key in common but 2 times in 10,000.
-SHINGLE, SIMILAR, KEPT, ROWS, KEYS = 5, 0.8, 256, 4, 16
-# Texts of a key that are all compared; more are compared with the first one of the key.
-FEW = 16
-_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, ROWS * KEYS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 # How often each bit is set in a byte value.
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little") \
     .astype(np.int64)
@@ -51,58 +45,21 @@ def fingerprint_of(text: str, width: int) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def sketch_of(text: str) -> tuple[list[int], bytes]:
-    """(keys, sketch) of a text's different shingles of words; nothing without words.
-
-    The sketch is the smallest KEPT hashes of shingles, so all of them for texts of up to 260 words.
-    """
-    words = text.encode().lower().split()
-    if not words:
-        return [], b""
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(SEED)), dtype=np.uint64)
-    width = min(SHINGLE, len(words))
-    n = len(words) - width + 1
-    made = hashes[:n].copy()
-    for k in range(1, width):
-        made = made * np.uint64(0x9E3779B97F4A7C15) + hashes[k:k + n]
-    made = (made ^ made >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
-    made = np.unique(made ^ made >> np.uint64(33))
-    least = np.array([(made * f).min() for f in _FACTORS], dtype="<u8")
-    keys = [xxhash.xxh64_intdigest(part.tobytes(), k) for k, part in enumerate(least.reshape(KEYS, ROWS))]
-    return np.array(keys, dtype=np.uint64).view(np.int64).tolist(), \
-        (made[:KEPT] >> np.uint64(32)).astype("<u4").tobytes()
-
-
-def similarity(a: bytes, b: bytes) -> float:
-    """Share of common shingles of two texts: exact where both sketches are whole, else an estimate."""
-    x, y = np.frombuffer(a, dtype="<u4"), np.frombuffer(b, dtype="<u4")
-    values, counts = np.unique(np.concatenate([x, y]), return_counts=True)
-    if max(len(x), len(y)) >= KEPT:
-        counts = counts[:KEPT]
-    return float((counts > 1).mean()) if len(counts) else 0.0
-
-
-def fingerprints(documents: DataFrame, width: int = 3, sketches: bool = False) -> DataFrame:
+def fingerprints(documents: DataFrame, width: int = 3) -> DataFrame:
     """(doc_id, th, fp) for every row; th is the text's hash, fp a signed long.
 
-    Null and empty texts have fingerprint 0. With `sketches` also (keys, sketch).
+    Null and empty texts have fingerprint 0.
     """
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            fps = [fingerprint_of(t, width) for t in texts]
-            columns = {
+            fps = [fingerprint_of(t or "", width) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "th": batch.column("th"),
-                "fp": pa.array(np.array(fps, dtype=np.uint64).view(np.int64))}
-            if sketches:
-                keys, sketch = zip(*map(sketch_of, texts))
-                columns |= {"keys": pa.array(keys, pa.list_(pa.int64())), "sketch": pa.array(sketch, pa.binary())}
-            yield pa.RecordBatch.from_pydict(columns)
+                "fp": pa.array(np.array(fps, dtype=np.uint64).view(np.int64))})
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     rows = documents.select("doc_id", F.xxhash64("text").alias("th"), "text")
-    return map_batches(rows, make, f"doc_id {kind}, th long, fp long"
-                       + (", keys array<long>, sketch binary" if sketches else ""))
+    return map_batches(rows, make, f"doc_id {kind}, th long, fp long")
 
 
 def _signed(mask: int) -> int:
@@ -164,39 +121,6 @@ def links(fps: DataFrame, crowded: int = CROWDED) -> DataFrame:
     return found0.union(found1).union(found).distinct()
 
 
-def wide_links(rows: DataFrame) -> DataFrame:
-    """(a, b), a < b: fingerprints of texts with a similarity of SIMILAR or more, however many bits apart.
-
-    `rows` is a stored table of `fingerprints` with sketches. Near-copies are up to a dozen bits
-    apart; segments short enough to agree then would fetch a fixed share of all pairs. So the
-    index holds keys of min-hashes instead: texts with a key in common are fetched and verified by
-    their sketches. Copies of a text count once. Texts of a key with more than FEW meet the first one of the key only,
-    so that a large group costs as many comparisons as it has members.
-    """
-    nodes = written(rows.groupBy("th").agg(*[F.first(c).alias(c) for c in ("fp", "keys", "sketch")]), "texts")
-    entries = nodes.select("th", F.explode("keys").alias("key"))
-    shared = written(entries.groupBy("key").agg(F.count("*").alias("n"), F.min("th").alias("low"))
-                     .filter("n > 1"), "shared")
-    held = written(entries.join(shared, "key"), "held")
-    few = held.filter(F.col("n") <= FEW).select("key", F.col("th").alias("a"))
-    pairs = few.join(few.withColumnRenamed("a", "b"), "key").filter("a < b").select("a", "b").union(
-        held.filter((F.col("n") > FEW) & (F.col("th") > F.col("low"))).select("low", "th"))
-    pairs = written(pairs.distinct(), "pairs")
-    for end in ("a", "b"):
-        own = nodes.select(F.col("th").alias(end), F.col("fp").alias(f"f{end}"), F.col("sketch").alias(f"s{end}"))
-        pairs = pairs.join(own.hint("shuffle_merge"), end)
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = [similarity(x, y) >= SIMILAR for x, y in zip(
-                batch.column("sa").to_pylist(), batch.column("sb").to_pylist())]
-            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
-
-    found = pairs.filter("fa != fb").select(
-        F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b"), "sa", "sb")
-    return map_batches(found, verify, "a long, b long").distinct()
-
-
 def simhash_components(documents: DataFrame, width: int = 3, crowded: int = CROWDED) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row, repeated rows included.
 
@@ -209,11 +133,10 @@ def simhash_components(documents: DataFrame, width: int = 3, crowded: int = CROW
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _placed(rows: DataFrame, crowded: int = CROWDED, wide: bool = False) -> DataFrame:
+def _placed(rows: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """The stored rows (doc_id, fp, ...) with the component_id of their fingerprint."""
     nodes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
-    near = links(nodes.select("fp"), crowded)
-    roots = components(near.union(wide_links(rows)) if wide else near)
+    roots = components(links(nodes.select("fp"), crowded))
     placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"))
     placed = written(placed, "placed")
@@ -225,14 +148,13 @@ def _placed(rows: DataFrame, crowded: int = CROWDED, wide: bool = False) -> Data
 def keep_one(documents: DataFrame, width: int = 3) -> DataFrame:
     """The documents without near-copies: of each component, the row of its smallest doc_id.
 
-    Linked are fingerprints at 2 or fewer differing bits, and texts whose shingles of 5 words have
-    a similarity of 0.8 or more.
-    Rows without a doc_id stay only when their whole component has none, and then all of them do.
-    Of repeated rows with the component's doc_id, each stays, as they are the same document. Rows
-    are told by (doc_id, hash of the text): another text under the same or no doc_id is not touched.
+    Components are those of `simhash_components`. Rows without a doc_id stay only when their whole
+    component has none, and then all of them do. Of repeated rows with the component's doc_id, each
+    stays, as they are the same document. Rows are told by (doc_id, hash of the text): another text
+    under the same or no doc_id is not touched. Texts of any length count whole, no documents give
+    none, and columns of any name are kept as they are.
     """
-    places = _placed(written(fingerprints(documents, width, sketches=True), "fingerprints"), wide=True)
+    places = _placed(written(fingerprints(documents, width), "fingerprints"))
     gone = written(places.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-                   .select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct(), "copies")
-    return documents.join(gone, F.col("doc_id").eqNullSafe(F.col("_id"))
-                          & (F.xxhash64("text") == F.col("_th")), "left_anti")
+                   .select("doc_id", "th").distinct(), "copies")
+    return without_rows(documents, gone)
