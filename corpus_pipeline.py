@@ -20,17 +20,19 @@ def good_quality(spark: SparkSession, documents: DataFrame, sf_dir: str) -> Data
 
 def without_repeated_lines(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
     """Passages found before go; a document of which nothing but white space is left goes too."""
-    changed = line_dedup.line_dedup(documents, short=True)
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    changed = line_dedup.line_dedup(documents.select("doc_id", "text", row), short=True)
     emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return changed.filter(~emptied).withColumn(
-        "n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        .cast(documents.schema["n_chars"].dataType)).select(documents.columns)
+    n_chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("row.n_chars")) \
+        .cast(documents.schema["n_chars"].dataType)
+    new = {"text": F.col("text"), "n_chars": n_chars}
+    return changed.filter(~emptied).select(*[new.get(c, F.col("row")[c]).alias(c) for c in documents.columns])
 
 
 def without_near_copies(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near-copies stays, the one with the smallest doc_id.
 
-    Near-copies are 2 bits apart, or have a similarity of 5-word shingles of 0.8 or more.
+    Near-copies are those of the operator: fingerprints of 3-word shingles, at most 2 bits apart.
     """
     return simhash.keep_one(documents)
 
