@@ -1,4 +1,5 @@
 from webcorpus.operators import admission, extract, frontier
+from webcorpus.sources.links import link_table, store_links
 
 SITE = "http://n.com/2024/01/{}.shtml"
 
@@ -21,9 +22,9 @@ def seeds(spark, *numbers):
     return spark.createDataFrame([(SITE.format(n),) for n in numbers], "url string")
 
 
-def test_levels_cycles_and_limits(spark):
-    pages = site(spark, {0: [1, 2, "/2024/01/1.shtml", "http://other.example/2024/01/9.shtml"], 1: [0, 3],
-                         2: [3, 2], 3: [4], 4: [5]})
+def test_levels_cycles_and_limits(spark, folder):
+    pages = store_links(site(spark, {0: [1, 2, "/2024/01/1.shtml", "http://other.example/2024/01/9.shtml"], 1: [0, 3],
+                         2: [3, 2], 3: [4], 4: [5]}), folder + "/links")
     start = seeds(spark, 0, 0)
     full = [(0, SITE.format(0)), (1, SITE.format(1)), (1, SITE.format(2)), (2, SITE.format(3))]
     assert reached(frontier.crawl_frontier(start, pages, admit)) == full
@@ -33,13 +34,25 @@ def test_levels_cycles_and_limits(spark):
     assert reached(frontier.crawl_frontier(start, pages, admit, depth_limit=0)) == full[:1]
 
 
-def test_known_urls_are_skipped_even_as_seeds(spark):
-    pages = site(spark, {0: [1, 2], 1: [3], 2: [4]})
+def test_known_urls_are_skipped_even_as_seeds(spark, folder):
+    pages = store_links(site(spark, {0: [1, 2], 1: [3], 2: [4]}), folder + "/links")
     known = extract.url_fingerprints(seeds(spark, 1)).select("url_fp")
     got = frontier.crawl_frontier(seeds(spark, 0, 1), pages, admit, known=known)
     assert reached(got) == [(0, SITE.format(0)), (1, SITE.format(2)), (2, SITE.format(4))]
 
 
+def test_links_are_stored_once_and_pages_are_not_read_again(spark, folder):
+    path = folder + "/links"
+    assert frontier.crawl_frontier(seeds(spark, 0), link_table(spark, path), admit).count() == 1  # no graph yet
+    store_links(site(spark, {0: [1], 1: []}), path)
+    store_links(site(spark, {0: [7], 2: [3], 1: [5]}), path)  # pages that are known keep their links
+    rows = {r.src_fp: [x.url for x in r.links] for r in link_table(spark, path).rows().collect()}
+    prints = {r.url: r.url_fp for r in extract.url_fingerprints(seeds(spark, 0, 1, 2)).collect()}
+    assert rows == {prints[SITE.format(0)]: [SITE.format(1)], prints[SITE.format(1)]: [], prints[SITE.format(2)]: [SITE.format(3)]}
+    got = frontier.crawl_frontier(seeds(spark, 0, 2), link_table(spark, path), admit)
+    assert [depth for depth, _ in reached(got)] == [0, 0, 1, 1]
+
+
 def test_budgets(spark):
     rows = [(i, SITE.format(i), "<p>" + "text " * (20 if i in (1, 2, 5) else 1)) for i in range(9)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")

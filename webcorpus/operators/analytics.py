@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from webcorpus import settings
 from webcorpus.functions import urls
 from webcorpus.functions.text import or_default
-from webcorpus.operators.numbering import running_total
 from webcorpus.operators.quality import QualityRules, tag_quality
 
-# Most ids that a list page may bring into one task as a top-k.
-SHALLOW = 10_000
+# Consecutive ids that are counted together, to find the place of a list page.
+BLOCK = 1 << 16
+# Buckets of a sketch as a power of two: the standard error of its counts is 1.04 / sqrt(2 ** SKETCH), 1.6 %.
+SKETCH = 12
 
 
 def article_totals(articles: DataFrame, as_of: str | None = None) -> DataFrame:
@@ -70,6 +71,18 @@ def fingerprint_cardinality(articles: DataFrame, approximate: bool = False) -> D
     return articles.agg(size("url_fp").alias("urls"), size("content_fp").alias("contents"))
 
 
+def fingerprint_sketch(articles: DataFrame, size: int = SKETCH) -> DataFrame:
+    """One row: the URL and the content fingerprints of a load as sketches, some kilobytes each."""
+    return articles.agg(F.hll_sketch_agg("url_fp", F.lit(size)).alias("urls"),
+                        F.hll_sketch_agg("content_fp", F.lit(size)).alias("contents"))
+
+
+def sketched_cardinality(sketches: DataFrame) -> DataFrame:
+    """Estimated sizes of the sets that the sketches of several loads make up together."""
+    return sketches.agg(F.hll_sketch_estimate(F.hll_union_agg("urls")).alias("urls"),
+                        F.hll_sketch_estimate(F.hll_union_agg("contents")).alias("contents"))
+
+
 def ingest_run_stats(incoming: DataFrame, target: DataFrame,
                      rules: QualityRules | None = None) -> DataFrame:
     """One row: dropped, duplicate, inserted and sent of one run over `incoming`.
@@ -102,25 +115,40 @@ def article_rows(articles: DataFrame) -> DataFrame:
         _minute("crawled_at").alias("crawled_at"))
 
 
-def _page_ids(articles: DataFrame, offset: int, size: int) -> DataFrame:
-    """(id): the ids of one page, newest first."""
-    ids = articles.select("id")
-    if offset + size <= SHALLOW:
-        return ids.orderBy(F.desc("id")).offset(offset).limit(size)
-    ranked = running_total(ids.withColumn("_age", -F.col("id")), [], "_age", F.lit(1), "_rank")
-    return ranked.filter(F.col("_rank").between(offset + 1, offset + size)).select("id")
+def id_blocks(articles: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(block, n): how many ids each range of `block` ids holds. A small table, which may be stored."""
+    return articles.groupBy(F.floor(F.col("id") / block).alias("block")).agg(F.count("*").alias("n"))
+
 
+def _page_ids(articles: DataFrame, offset: int, size: int, blocks: DataFrame, block: int) -> DataFrame:
+    """(id): the ids of one page, newest first.
 
-def article_page(articles: DataFrame, page: int = 1, size: int = settings.PAGE_SIZE) -> DataFrame:
+    The counts of the blocks tell which of them hold the page, one or a few; only their ids are ordered.
+    """
+    newer = W.orderBy(F.desc("block")).rowsBetween(W.unboundedPreceding, -1)
+    placed = blocks.withColumn("_before", F.coalesce(F.sum("n").over(newer), F.lit(0)))
+    hit = placed.filter((F.col("_before") < offset + size) & (F.col("_before") + F.col("n") > offset))
+    found = hit.agg(F.struct(F.min("block").alias("first"), F.max("block").alias("last"),
+                             F.min("_before").alias("before"))).scalar()
+    ids = articles.select("id").filter((F.col("id") >= found["first"] * block)
+                                       & (F.col("id") < (found["last"] + 1) * block))
+    rank = found["before"] + F.row_number().over(W.orderBy(F.desc("id")))
+    return ids.withColumn("_rank", rank).filter(F.col("_rank").between(offset + 1, offset + size)).select("id")
+
+
+def article_page(articles: DataFrame, page: int = 1, size: int = settings.PAGE_SIZE,
+                 blocks: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """One page of the list, newest id first; page and size are clamped to their legal range.
 
-    Only ids are ordered: as a top-k for the first pages, by ranks in blocks beyond. Their bounds
-    then go to the scan as a range, so only the row groups that hold the page give up their bodies.
+    One plan for pages of any depth: counts per block of ids find the place, the ids of that place are
+    ordered, and their bounds go to the scan as a range, so only the row groups that hold the page
+    give up their bodies. `blocks` may be a stored id_blocks(articles, block).
     """
     size = min(max(size, 1), settings.MAX_PAGE_SIZE)
-    ids = _page_ids(articles, (max(page, 1) - 1) * size, size)
-    shown = articles.filter((F.col("id") >= ids.agg(F.min("id")).scalar())
-                            & (F.col("id") <= ids.agg(F.max("id")).scalar()))
+    counted = id_blocks(articles, block) if blocks is None else blocks
+    ids = _page_ids(articles, (max(page, 1) - 1) * size, size, counted, block)
+    ends = ids.agg(F.struct(F.min("id").alias("low"), F.max("id").alias("high"))).scalar()
+    shown = articles.filter((F.col("id") >= ends["low"]) & (F.col("id") <= ends["high"]))
     return article_rows(shown).orderBy(F.desc("id"))
 
 

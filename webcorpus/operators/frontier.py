@@ -13,40 +13,33 @@ from webcorpus.functions import urls
 from webcorpus.functions.text import once
 from webcorpus.operators.dedupe import first_wins, not_in, unseen
 from webcorpus.operators.extract import build_articles
-from webcorpus.operators.links import article_links
 from webcorpus.session import written
+from webcorpus.sources.store import KeyedTable
 
 
-def link_graph(pages: DataFrame, admit: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(src_fp, url, url_fp): admitted article links of every stored page."""
-    links = article_links(pages).select(
-        urls.fingerprint(F.col("url")).alias("src_fp"), F.col("abs_url").alias("url"))
-    return once(admit(links), url_fp=urls.fingerprint(F.col("url")))
-
-
-def crawl_frontier(seeds: DataFrame, pages: DataFrame, admit: Callable[[DataFrame], DataFrame],
+def crawl_frontier(seeds: DataFrame, links: KeyedTable, admit: Callable[[DataFrame], DataFrame],
                    depth_limit: int = settings.DEPTH_LIMIT, follow_links: bool = True,
                    known: DataFrame | None = None) -> DataFrame:
     """(url, url_fp, depth): every URL reached from `seeds` in at most `depth_limit` hops, once.
 
-    `admit` filters a frame with a `url` column. `known` holds fingerprints of earlier runs;
-    leave it out for a fresh run. The pages are read once, for the link graph; each hop is a join
-    of slim rows, and is written to the shared folder so that plans do not grow with the depth.
+    `links` is the stored link graph (sources/links.py); no page is read. `admit` filters a frame with
+    a `url` column; it sees the URLs of a hop that were not reached before, not the graph. `known` holds
+    fingerprints of earlier runs; leave it out for a fresh run. A hop reads the graph in the buckets of
+    the URLs it starts from, and is written to the shared folder so that plans do not grow.
     """
     start = once(admit(seeds.select("url")), url_fp=urls.fingerprint(F.col("url")))
     level = unseen(start, "url_fp", "url", known).select(
         "url", "url_fp", F.lit(0).cast("long").alias("depth"))
     reached = level = written(level, "frontier")
-    if not follow_links or depth_limit == 0:
-        return reached
-
-    edges = written(link_graph(pages, admit), "links")
-    for depth in range(1, depth_limit + 1):
-        found = level.select(F.col("url_fp").alias("src_fp")).join(edges, "src_fp")
-        fresh = not_in(first_wins(found, "url_fp", "url"), "url_fp", reached)
+    state = links.state()
+    for depth in range(1, depth_limit + 1 if follow_links else 1):
+        pages = links.among(level.select(F.col("url_fp").alias("src_fp")), state)
+        if pages is None:
+            break
+        fresh = not_in(first_wins(pages.select(F.inline("links")), "url_fp", "url"), "url_fp", reached)
         if known is not None:
             fresh = not_in(fresh, "url_fp", known)
-        level = written(fresh.select("url", "url_fp", F.lit(depth).cast("long").alias("depth")),
+        level = written(admit(fresh).select("url", "url_fp", F.lit(depth).cast("long").alias("depth")),
                         "frontier")
         if level.isEmpty():
             break

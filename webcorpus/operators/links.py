@@ -47,8 +47,17 @@ def page_link_distinct(pages: DataFrame) -> DataFrame:
         "page_id", "url", F.explode(F.array_distinct(_targets())).alias("abs_url"))
 
 
+def _wanted() -> Column:
+    """The links of a page worth following, each once."""
+    return F.array_distinct(F.filter(_targets(), lambda u: urls.is_article_url(u) & ~u.contains(ERROR_WORD)))
+
+
 def article_links(pages: DataFrame) -> DataFrame:
     """(page_id, url, abs_url): links worth following, each once per page."""
-    wanted = F.filter(_targets(), lambda u: urls.is_article_url(u) & ~u.contains(ERROR_WORD))
-    return _with_markup(pages).select(
-        "page_id", "url", F.explode(F.array_distinct(wanted)).alias("abs_url"))
+    return _with_markup(pages).select("page_id", "url", F.explode(_wanted()).alias("abs_url"))
+
+
+def page_links(pages: DataFrame) -> DataFrame:
+    """(page_id, src_fp, links): a row per page, also without links; each link with its fingerprint."""
+    linked = F.transform(_wanted(), lambda u: F.struct(u.alias("url"), urls.fingerprint(u).alias("url_fp")))
+    return _with_markup(pages).select("page_id", urls.fingerprint(F.col("url")).alias("src_fp"), linked.alias("links"))

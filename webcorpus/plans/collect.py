@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from webcorpus.operators import analytics, comments as ops
 from webcorpus.operators.dedupe import content_dedupe
 from webcorpus.operators.extract import build_articles
 from webcorpus.operators.joins import lookup
-from webcorpus.operators.quality import QualityRules, quality_filter
+from webcorpus.operators.quality import QualityRules, quality_filter, tag_quality
 from webcorpus.schemas import PROGRESS
 from webcorpus.session import written
 from webcorpus.sources.articles import articles_sink
@@ -39,9 +39,25 @@ def top_domains(pages: DataFrame, rules: QualityRules | None = None) -> DataFram
 
 def ingest_pages(pages: DataFrame, store: str, rules: QualityRules | None = None) -> int:
     """Extract, filter, dedupe and store a batch of pages; returns the rows inserted."""
-    # The extraction is the costly part and the insert reads its input twice: store it in between.
-    articles = written(quality_filter(build_articles(pages), rules), "articles")
-    return articles_sink(articles, store, "page_id")
+    return ingest_articles(build_articles(pages), store, "page_id", rules)["inserted"]
+
+
+def ingest_articles(articles: DataFrame, store: str, arrival: str, rules: QualityRules | None = None) -> dict[str, int]:
+    """Filter, dedupe and store articles; returns dropped, duplicate, inserted and sent.
+
+    The rows are counted while they pass on their way to the shared folder, so `articles` is computed
+    once: its extraction is the costly part, and the insert reads its input twice. Inserted rows are
+    sent.
+    """
+    seen = Observation()
+    tagged = tag_quality(articles, rules).observe(
+        seen, F.count_if(F.col("drop_reason").isNotNull()).alias("dropped"),
+        F.count_if(F.col("drop_reason").isNull()).alias("passed"))
+    good = written(tagged.filter(F.col("drop_reason").isNull()).drop("drop_reason"), "articles")
+    inserted = articles_sink(good, store, arrival)
+    counts = seen.get
+    return {"dropped": counts["dropped"], "duplicate": counts["passed"] - inserted,
+            "inserted": inserted, "sent": inserted}
 
 
 def collect_comments(spark: SparkSession, posts: DataFrame, pages: DataFrame, store: str,

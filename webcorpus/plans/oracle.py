@@ -452,6 +452,14 @@ def all_sql() -> dict[str, str]:
             """SELECT count(*) FILTER (WHERE r IS NOT NULL) AS dropped,
             count(*) FILTER (WHERE r IS NULL) - any_value(n) AS duplicate,
             any_value(n) AS inserted, any_value(n) AS sent FROM tagged, ins"""),
+        "ingest_run_observed": _with(f"""{_KNOWN}, tagged AS (SELECT *, {_REASON} AS r FROM incoming),
+          ins AS (SELECT count(DISTINCT content_fp) AS n FROM tagged WHERE r IS NULL
+            AND content_fp NOT IN (SELECT content_fp FROM known))""",
+            """SELECT count(*) FILTER (WHERE r IS NOT NULL) AS dropped,
+            count(*) FILTER (WHERE r IS NULL) - any_value(n) AS duplicate,
+            any_value(n) AS inserted, any_value(n) AS sent FROM tagged, ins"""),
+        "fingerprint_sketches": _with(_D1, """SELECT count(DISTINCT url_fp) AS urls, count(DISTINCT content_fp) AS contents,
+          true AS urls_close, true AS contents_close FROM d1"""),
         "fingerprint_cardinality": _with(_D1, """SELECT count(DISTINCT url_fp) AS urls,
           count(DISTINCT content_fp) AS contents FROM d1"""),
         "comment_page_totals": _with(_D3, """SELECT post, CAST(sum(n_rows) AS BIGINT) AS comments,
@@ -468,8 +476,15 @@ def all_sql() -> dict[str, str]:
         "article_page": _with(_D1, f"""SELECT {_LIST}, length(content_md) AS content_len,
           strftime(crawled_at, '%Y-%m-%d %H:%M') AS crawled_at FROM d1
           ORDER BY id DESC LIMIT 20 OFFSET 20"""),
+        "article_page_deep": _with(_D1, f"""SELECT {_LIST}, length(content_md) AS content_len,
+          strftime(crawled_at, '%Y-%m-%d %H:%M') AS crawled_at
+          FROM (SELECT *, row_number() OVER (ORDER BY id DESC) AS rn, count(*) OVER () // 7 * 9 // 10 AS page FROM d1)
+          WHERE rn > (page - 1) * 7 AND rn <= page * 7"""),
         "recent_jobs": _with(_D4, """SELECT * FROM d4_brief WHERE state <> 'finished' UNION ALL
           SELECT * FROM (SELECT * FROM d4_brief WHERE state = 'finished' ORDER BY seq DESC LIMIT 5)"""),
+        "link_graph": _with(_D2, f"""SELECT DISTINCT sha1(d2.url) AS src_fp, abs_url AS url, sha1(abs_url) AS url_fp
+          FROM d2 LEFT JOIN (SELECT * FROM d2_links WHERE regexp_matches(abs_url, {_ARTICLE})
+            AND abs_url NOT LIKE '%error%') l ON d2.page_id = l.page_id"""),
         "crawl_frontier": _with(_EDGES, "SELECT url, url_fp, depth FROM frontier"),
         "frontier_budget": _with(_EDGES, """, ranked AS (SELECT f.*, d2.page_id % 2 = 0 AS item,
             row_number() OVER (ORDER BY depth, url_fp) AS rn FROM frontier f JOIN d2 ON f.url = d2.url),

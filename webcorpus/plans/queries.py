@@ -16,6 +16,7 @@ from webcorpus.plans import collect, fixtures as fx
 from webcorpus.session import fresh_dir
 from webcorpus.sources import articles as article_io
 from webcorpus.sources import comments as comment_io
+from webcorpus.sources import links as link_io
 from webcorpus.sources import messages as message_io
 from webcorpus.sources import seeds as seed_io
 from webcorpus.sources.store import KeyedTable
@@ -101,7 +102,8 @@ def _admit(df: DataFrame, sf: str) -> DataFrame:
 
 def _frontier(spark: SparkSession, sf: str, **options) -> DataFrame:
     seeds = fx.link_pages(spark, sf).filter("page_id % 50 = 0").select("url")
-    return frontier.crawl_frontier(seeds, fx.link_pages(spark, sf), lambda df: _admit(df, sf), **options)
+    table = link_io.store_links(fx.link_pages(spark, sf), fresh_dir(spark, "links"))
+    return frontier.crawl_frontier(seeds, table, lambda df: _admit(df, sf), **options)
 
 
 def _as_store(df: DataFrame) -> DataFrame:
@@ -530,6 +532,30 @@ def _(spark, sf):
     return analytics.fingerprint_cardinality(fx.articles(spark, sf))
 
 
+@query("ingest_run_observed")
+def _(spark, sf):
+    """The same counts, taken while a run into a store goes on."""
+    known, incoming = _known_split(spark, sf)
+    store = fresh_dir(spark, "store")
+    article_io.articles_sink(known, store, "id")
+    counts = collect.ingest_articles(incoming, store, "id")
+    return spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in counts.items()])
+
+
+@query("fingerprint_sketches")
+def _(spark, sf):
+    """Sketches of five loads against the exact sizes: within four standard errors of them."""
+    path, articles = fresh_dir(spark, "sketches"), fx.articles(spark, sf)
+    for load in range(5):
+        analytics.fingerprint_sketch(articles.filter(F.col("id") % 5 >= load)).write.mode("append").parquet(path)
+    merged = analytics.sketched_cardinality(spark.read.parquet(path))
+    exact = analytics.fingerprint_cardinality(articles)
+    far = 4 * 1.04 / 2 ** (analytics.SKETCH / 2)
+    return exact.select("urls", "contents", *[
+        (F.abs(merged.select(c).scalar() - F.col(c)) <= F.ceil(far * F.col(c))).alias(f"{c}_close")
+        for c in ("urls", "contents")])
+
+
 @query("comment_page_totals")
 def _(spark, sf):
     return comments.comment_page_totals(_all_page_docs(spark, sf), _known_comments(spark, sf))
@@ -576,6 +602,15 @@ def _(spark, sf):
     return analytics.article_page(fx.articles(spark, sf), page=2, size=20)
 
 
+@query("article_page_deep")
+def _(spark, sf):
+    """A page in the last tenth of the list, with stored counts of small blocks."""
+    articles, path = fx.articles(spark, sf), fresh_dir(spark, "blocks")
+    analytics.id_blocks(articles, 64).write.parquet(path)
+    pages = articles.count() // 7
+    return analytics.article_page(articles, pages * 9 // 10, 7, spark.read.parquet(path), 64)
+
+
 @query("recent_jobs")
 def _(spark, sf):
     return jobs.recent_jobs(fx.jobs(spark, sf))
@@ -586,6 +621,15 @@ def _(spark, sf):
     return _frontier(spark, sf)
 
 
+@query("link_graph")
+def _(spark, sf):
+    """Three loads, the last with pages of the first two among its own: the stored links are each page's once."""
+    path, pages = fresh_dir(spark, "links"), fx.link_pages(spark, sf)
+    for part in ("page_id % 3 = 0", "page_id % 3 = 1", "page_id % 2 = 0 OR page_id % 3 = 2"):
+        link_io.store_links(pages.filter(part), path)
+    return link_io.link_table(spark, path).rows().select("src_fp", F.inline_outer("links"))
+
+
 @query("frontier_budget")
 def _(spark, sf):
     return frontier.frontier_budget(_frontier(spark, sf), fx.link_pages(spark, sf),

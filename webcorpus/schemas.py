@@ -22,6 +22,8 @@ ITEM_FIELDS = ["url", "url_fp", "title", "published", "content_md", "content_fp"
 MESSAGE = _struct(("url", _S), ("url_fp", _S), ("title", _S), ("published", _S),
                   ("content_fp", _S))
 
+PAGE_LINKS = _struct(("src_fp", _S), ("links", T.ArrayType(_struct(("url", _S), ("url_fp", _S)))))
+
 # Ids are read as text: raw feeds carry numbers, stored files carry strings.
 COMMENT_PAGE = _struct(
     ("data", T.ArrayType(_struct(
