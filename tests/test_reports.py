@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from webcorpus import schemas
 from webcorpus.operators import analytics, jobs, messages
+from webcorpus.plans import collect
 from webcorpus.sources import seeds as seed_io
 
 
@@ -15,13 +16,12 @@ def store(spark, n=45):
     return spark.createDataFrame(rows, schemas.ARTICLE).repartition(4)
 
 
-@pytest.mark.parametrize("shallow", [10_000, 0])
-def test_paging(spark, monkeypatch, shallow):
-    monkeypatch.setattr(analytics, "SHALLOW", shallow)
+@pytest.mark.parametrize("block", [1 << 16, 7, 1])
+def test_paging(spark, block):
     articles = store(spark)
 
     def ids(**where):
-        return [r.id for r in analytics.article_page(articles, **where).collect()]
+        return [r.id for r in analytics.article_page(articles, block=block, **where).collect()]
 
     assert ids() == list(range(45, 25, -1))
     assert ids(page=3) == [5, 4, 3, 2, 1]
@@ -33,6 +33,49 @@ def test_paging(spark, monkeypatch, shallow):
     assert row.crawled_at == "2024-05-01 06:07"
 
 
+def test_pages_of_a_list_with_gaps(spark, folder):
+    articles = store(spark, 200).filter("id % 7 > 2 AND id NOT BETWEEN 60 AND 120")
+    analytics.id_blocks(articles, 16).write.parquet(folder + "/blocks")
+    blocks = spark.read.parquet(folder + "/blocks")
+    want = sorted((r.id for r in articles.collect()), reverse=True)
+    for page in (1, 3, 6, 9, 10, 11, 99):
+        got = analytics.article_page(articles, page, 8, blocks, 16).collect()
+        assert [r.id for r in got] == want[8 * page - 8:8 * page]
+    plan = analytics.article_page(articles, 9, 8, blocks, 16)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") < 12 and "Sort [id#" in plan
+
+
+def test_run_is_counted_in_one_read(spark, folder):
+    path = folder + "/in"
+    articles = store(spark, 60).withColumn("content_md", F.concat(F.lit("长" * 300), F.col("id") % 20)) \
+        .withColumn("content_fp", F.sha1("content_md")).withColumn("url", F.when(F.col("id") % 10 == 3, "http://h/error").otherwise(F.col("url")))
+    articles.write.parquet(path)
+    stored = spark.read.schema(schemas.ARTICLE).parquet(path)
+    reads = []
+
+    def watched(frame):
+        reads.append(frame)
+        return frame
+
+    got = collect.ingest_articles(watched(stored), folder + "/store", "id")
+    assert got == {"dropped": 6, "duplicate": 36, "inserted": 18, "sent": 18}
+    again = collect.ingest_articles(stored, folder + "/store", "id")
+    assert again == {"dropped": 6, "duplicate": 54, "inserted": 0, "sent": 0}
+    assert collect.ingest_articles(stored.limit(0), folder + "/store", "id") == dict.fromkeys(got, 0)
+
+
+def test_sketches_of_several_loads(spark):
+    loads = [spark.range(k * 4000, k * 4000 + 10000).select(
+        F.sha1((F.col("id") % 9000).cast("string")).alias("url_fp"), F.sha1(F.col("id").cast("string")).alias("content_fp"))
+        for k in range(4)]
+    sketches = [analytics.fingerprint_sketch(load) for load in loads]
+    merged = sketches[0].union(sketches[1]).union(sketches[2]).union(sketches[3])
+    got = analytics.sketched_cardinality(merged).first()
+    assert abs(got.urls - 9000) < 0.05 * 9000 and abs(got.contents - 22000) < 0.05 * 22000
+    row = sketches[0].first()
+    assert len(row.urls) < 8192
+
+
 def test_detail(spark):
     row = analytics.article_detail(store(spark), 4).first()
     assert (row.title, row.published, row.content_md) == ("t4", "-", "字" * 4)

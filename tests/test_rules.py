@@ -1,6 +1,10 @@
+import ipaddress
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from webcorpus.functions import addresses
 from webcorpus.operators import admission, quality
 from webcorpus.operators.joins import hot_keys, lookup
 
@@ -140,3 +144,46 @@ def test_rows_without_a_key_are_spread(spark, any_size):
         finally:
             spark.conf.set("spark.sql.adaptive.enabled", "true")
         assert max(sizes) < 2000
+
+
+def test_address_table_against_the_standard_library(spark):
+    """Nested, overlapping and repeated ranges of both kinds; the most specific one counts."""
+    rng = random.Random(8)
+    cidrs = list(addresses.default_ranges())
+    for _ in range(150):
+        if rng.random() < 0.5:
+            net = ipaddress.ip_network((rng.choice([10, 11, 192]) << 24 | rng.getrandbits(24), rng.randrange(0, 33)), strict=False)
+        else:
+            net = ipaddress.ip_network((0x20010DB8 << 96 | rng.getrandbits(96), rng.randrange(0, 129)), strict=False)
+        cidrs.append((str(net), rng.random() < 0.5))
+    ips = [str(ipaddress.ip_address(rng.choice([10, 11, 12, 192]) << 24 | rng.getrandbits(24))) for _ in range(200)]
+    ips += [str(ipaddress.ip_address(0x20010DB8 << 96 | rng.getrandbits(96))) for _ in range(200)]
+    ips += [c.split("/")[0] for c, _ in cidrs] + ["::1", "2001:DB8::", "::ffff:10.0.0.1", "no address", "1.2.3", "", None, "10.0.0.1"] * 2
+
+    def blocked(ip):
+        try:
+            address = ipaddress.ip_address(ip)
+        except ValueError:
+            return True
+        found = [(n.prefixlen, b) for n, b in nets if n.version == address.version and address in n]
+        return max(found)[1] if found else True  # of equal ranges a blocked one
+
+    nets = [(ipaddress.ip_network(c), b) for c, b in cidrs]
+    table = spark.createDataFrame(cidrs, "cidr string, blocked boolean")
+    frame = spark.createDataFrame(list(enumerate(ips)), "n long, ip string").repartition(4)
+    judged = admission.judge_addresses(frame, table)
+    assert {r.n: r.blocked for r in judged.collect()} == {n: blocked(ip) for n, ip in enumerate(ips)}
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    kept = admission.filter_blocked_ips(frame, table)
+    assert sorted(r.n for r in kept.collect()) == [n for n, ip in enumerate(ips) if not blocked(ip)]
+    fixed = spark.createDataFrame(addresses.default_ranges(), "cidr string, blocked boolean")
+    assert admission.filter_blocked_ips(frame, fixed).exceptAll(admission.filter_blocked_ips(frame)).count() == 0
+    assert admission.filter_blocked_ips(frame).exceptAll(admission.filter_blocked_ips(frame, fixed)).count() == 0
+    assert admission.filter_blocked_ips(frame, table.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("cidr", ["10.0.0.0", "10.0.0.0/33", "10.0/8", "x/8", None, "::/129", "10.0.0.0/-1"])
+def test_ranges_that_are_none(spark, cidr):
+    with pytest.raises(Exception, match="no CIDR range"):
+        admission.prefixes(spark.createDataFrame([(cidr, True)], "cidr string, blocked boolean")).collect()

@@ -1,7 +1,9 @@
+import glob
+
 from pyspark.sql import functions as F
 
 from webcorpus import settings
-from webcorpus.operators import analytics
+from webcorpus.operators import analytics, dedupe
 from webcorpus.operators.messages import article_messages
 from webcorpus.plans import collect, fixtures as fx
 from webcorpus.sources import articles as article_io
@@ -63,6 +65,30 @@ def test_publish_and_consume_once(spark, folder):
     assert sent == {r.value for r in article_messages(article_io.articles_source(spark, store)).collect()}
 
 
+def test_messages_wait_for_their_articles(spark, folder):
+    store, topic, out, mark = (folder + f"/{name}" for name in ("store", "topic", "texts", "mark"))
+    unique = dedupe.first_wins(fx.articles(spark, SF), "content_fp", "id")
+    values = article_messages(unique).select("value")
+    values.coalesce(1).write.text(topic)
+
+    def run():
+        consumers.stream_fulltext(message_io.message_source(spark, path=topic), store, out, mark).awaitTermination()
+        return spark.read.parquet(out).count() if glob.glob(out + "/batch=*") else 0
+
+    assert run() == 0  # no store yet: all wait
+    article_io.articles_sink(unique.filter("id <= 60"), store, "id")
+    spark.createDataFrame([('{"url": "u", "content_fp": "nowhere"}',), ("{}",), ("broken",)], "value string") \
+        .write.mode("append").text(topic)
+    early = unique.filter("id <= 60").count()
+    assert run() == early
+    article_io.articles_sink(unique, store, "id")
+    values.limit(1).coalesce(1).write.mode("append").text(topic)  # a message once more
+    assert run() == unique.count() + 1
+    got = spark.read.parquet(out).drop("batch")
+    want = dedupe.fulltext_lookup(message_io.decode_messages(values), unique).select(got.columns)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
+
+
 def test_stats_equal_the_batch_reports(spark, folder):
     source = folder + "/articles"
     articles = fx.articles(spark, SF)

@@ -113,3 +113,21 @@ def is_blocked(ip: Column) -> Column:
         F.when(ip.contains(":"), let(ipv6_hex(ip), v6))
          .otherwise(let(ipv4_number(ip), _ipv4_blocked)),
         F.lit(True))
+
+
+def ip_bits(ip: Column) -> Column:
+    """The address as "4" and 32, or "6" and 128 binary digits; NULL when it is no address."""
+    def digits(h: Column) -> Column:
+        groups = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.lpad(
+            F.conv(F.substr(h, k * 4 + 1, F.lit(4)), 16, 2), 16, "0"))
+        return F.concat(F.lit("6"), F.array_join(groups, ""))
+
+    v4 = F.concat(F.lit("4"), F.lpad(F.bin(ipv4_number(ip)), 32, "0"))
+    return F.when(ip.contains(":"), let(ipv6_hex(ip), lambda h: F.when(h.isNotNull(), digits(h)))).otherwise(v4)
+
+
+def default_ranges() -> list[tuple[str, bool]]:
+    """(cidr, blocked): the fixed ranges above as a table; the most specific one counts."""
+    public4 = [f"{ip}/32" for ip in IPV4_PUBLIC]
+    return ([("0.0.0.0/0", False), ("::/0", True)] + [(c, True) for c in IPV4_BLOCKED + IPV6_BLOCKED]
+            + [(c, False) for c in public4 + IPV6_PUBLIC + IPV6_EXCEPTIONS])

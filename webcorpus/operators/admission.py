@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from webcorpus.functions import addresses, urls
 from webcorpus.functions.text import once, strip
 from webcorpus.operators.joins import lookup
+from webcorpus.session import written
 from webcorpus.settings import ALLOWED_HOSTS, WEB_SCHEMES
 
 
@@ -56,8 +57,44 @@ def resolve_hosts(df: DataFrame, lookups: DataFrame) -> DataFrame:
             .withColumn("ip", F.when(literal, F.col("host")).otherwise(F.col("ip"))))
 
 
-def filter_blocked_ips(df: DataFrame) -> DataFrame:
-    """Drop unresolved rows and addresses inside blocked ranges."""
+def prefixes(ranges: DataFrame) -> DataFrame:
+    """(prefix, blocked) of a table (cidr, blocked); the binary digits that all addresses of a range share.
+
+    A range that is listed twice is blocked if it ever is. What is no CIDR range is an error.
+    """
+    start, length = F.substring_index("cidr", "/", 1), F.substring_index("cidr", "/", -1)
+    bits = addresses.ip_bits(start)
+    legal = bits.isNotNull() & length.rlike("^[0-9]{1,3}$") & (length.cast("int") < F.length(bits)) & F.col("cidr").contains("/")
+    checked = F.when(legal, F.substr(bits, F.lit(1), length.cast("int") + 1)).otherwise(
+        F.raise_error(F.concat(F.lit("no CIDR range: "), F.coalesce("cidr", F.lit("null")))))
+    return ranges.groupBy(checked.alias("prefix")).agg(F.bool_or("blocked").alias("blocked"))
+
+
+def judge_addresses(df: DataFrame, ranges: DataFrame, ip: str = "ip") -> DataFrame:
+    """Add `blocked`: what the most specific range (cidr, blocked) says that holds the address.
+
+    An address in no range, and what is no address, is blocked. IPv4 and IPv6 may be mixed. Addresses
+    are looked up by their prefixes, of the lengths that occur (161 at most): equal keys at any size
+    of either side, no comparison of all with all. Each address is looked up once.
+    """
+    table = written(prefixes(ranges), "prefixes")
+    lengths = [r[0] for r in table.select(F.struct(F.substring("prefix", 1, 1).alias("kind"), F.length("prefix").alias(
+        "n"))).distinct().collect()]
+    known = df.select(F.col(ip).alias("_ip")).filter(F.col("_ip").isNotNull()).distinct()
+    digits = once(known, _bits=addresses.ip_bits(F.col("_ip"))).filter(F.col("_bits").isNotNull())
+    keys = F.array(*[F.when(F.col("_bits").startswith(kind), F.substring("_bits", 1, n)) for kind, n in lengths]) \
+        if lengths else F.array().cast("array<string>")
+    asked = digits.select("_ip", F.explode(F.filter(keys, lambda k: k.isNotNull())).alias("prefix"))
+    judged = lookup(asked, table, "prefix", "inner").groupBy("_ip").agg(
+        F.max(F.struct(F.length("prefix").alias("n"), "blocked"))["blocked"].alias("_blocked"))
+    joined = lookup(df.withColumn("_ip", F.col(ip)), written(judged, "judged"), "_ip")
+    return joined.select(*df.columns, F.coalesce("_blocked", F.lit(True)).alias("blocked"))
+
+
+def filter_blocked_ips(df: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
+    """Drop unresolved rows and addresses inside blocked ranges: the fixed ones, or a table (cidr, blocked)."""
+    if ranges is not None:
+        return judge_addresses(df, ranges).filter(~F.col("blocked")).drop("blocked")
     return df.filter(F.col("ip").isNotNull() & ~addresses.is_blocked(F.col("ip")))
 
 

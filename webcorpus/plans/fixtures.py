@@ -21,6 +21,13 @@ EDGE_ADDRESSES = [
     "239.255.255.255", "240.0.0.1", "255.255.255.255",
 ]
 
+# Ranges of one's own: inside each other, across the fixed ones, listed twice, single addresses.
+OWN_RANGES = [
+    ("8.0.0.0/5", True), ("9.128.0.0/9", False), ("9.255.255.255/32", True), ("10.64.0.0/10", False),
+    ("10.64.0.0/10", False), ("10.96.0.0/11", True), ("20.0.0.0/6", True), ("20.0.0.0/6", False),
+    ("224.0.0.0/4", False), ("64.0.0.0/2", True), ("100.0.0.0/8", False), ("127.0.0.1/32", False),
+]
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")

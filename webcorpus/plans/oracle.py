@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from webcorpus.plans.fixtures import AS_OF, EDGE_ADDRESSES
+from webcorpus.functions.addresses import IPV4_BLOCKED, IPV4_PUBLIC
+from webcorpus.plans.fixtures import AS_OF, EDGE_ADDRESSES, OWN_RANGES
 
 # ---- URL expressions ----------------------------------------------------------------------------
 
@@ -321,6 +322,8 @@ def _with(ctes: str, body: str) -> str:
 
 def all_sql() -> dict[str, str]:
     edges = ", ".join(f"('edge-{ip}', '{ip}')" for ip in EDGE_ADDRESSES)
+    fixed = [("0.0.0.0/0", False), *[(c, True) for c in IPV4_BLOCKED], *[(f"{ip}/32", False) for ip in IPV4_PUBLIC]]
+    ranges = ", ".join(f"('{cidr}', {blocked})" for cidr, blocked in fixed + OWN_RANGES)
     progress = """SELECT post, arg_max(max_id, page) AS max_id, max(page) AS page,
       arg_max(max_id, page) = 0 AS done FROM d3_pages"""
     return {
@@ -388,6 +391,14 @@ def all_sql() -> dict[str, str]:
           WHERE {_host('url')} = 'example.com' OR {_host('url')} LIKE '%.example.com'"""),
         "filter_blocked_ips": _with(f"""{_D5}, a AS (SELECT host, ip FROM d5 WHERE ip IS NOT NULL
           UNION ALL SELECT * FROM (VALUES {edges}))""", f"SELECT host, ip FROM a WHERE NOT {_BLOCKED}"),
+        "filter_blocked_ips_table": _with(f"""{_D5}, a AS (SELECT host, ip FROM d5 WHERE ip IS NOT NULL
+            UNION ALL SELECT * FROM (VALUES {edges})),
+          r AS (SELECT split_part(cidr, '/', 1) AS ip, 1::BIGINT << (32 - split_part(cidr, '/', 2)::INT) AS size, blocked
+            FROM (VALUES {ranges}) AS v(cidr, blocked)),
+          bounds AS (SELECT {_IP} // size * size AS low, size, bool_or(blocked) AS blocked FROM r GROUP BY ALL),
+          judged AS (SELECT host, ip, arg_min(blocked, size) AS blocked
+            FROM (SELECT *, {_IP} AS n FROM a) JOIN bounds ON n >= low AND n < low + size GROUP BY host, ip)""",
+            "SELECT host, ip FROM judged WHERE NOT blocked"),
         "admission": _with(_D5, f"""SELECT c_custkey, CASE WHEN NOT web THEN 'scheme'
           WHEN NOT allowed THEN 'host' WHEN ip IS NULL THEN 'unresolved' WHEN {_BLOCKED} THEN 'ip'
           ELSE '' END AS reject_reason FROM d5"""),
@@ -424,6 +435,9 @@ def all_sql() -> dict[str, str]:
         "fulltext_lookup": _with(_D1, """SELECT url_fp, content_fp, url, title, published, content_md
           FROM (SELECT *, row_number() OVER (PARTITION BY content_fp ORDER BY id) AS rn FROM d1)
           WHERE rn = 1"""),
+        "fulltext_lookup_stream": _with(_D1, """SELECT url_fp, content_fp, url, title, published, content_md
+          FROM (SELECT *, row_number() OVER (PARTITION BY content_fp ORDER BY id) AS rn FROM d1)
+          WHERE rn = 1"""),
         "pending_posts": _with(_D3, """, p AS (SELECT post, arg_max(max_id, page) AS max_id,
             max(page) AS page FROM d3_pages WHERE page <= 2 GROUP BY post)
           SELECT post, max_id, page FROM p WHERE max_id <> 0

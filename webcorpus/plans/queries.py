@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webcorpus import schemas
-from webcorpus.functions import urls
+from webcorpus.functions import addresses, urls
 from webcorpus.operators import (
     admission, analytics, comments, dedupe, extract, frontier, jobs, links, messages, numbering,
     quality)
@@ -369,6 +369,13 @@ def _(spark, sf):
     return admission.filter_blocked_ips(fx.addresses(spark, sf))
 
 
+@query("filter_blocked_ips_table")
+def _(spark, sf):
+    """The fixed ranges and own ones as a table: nested, overlapping and repeated ranges, single addresses."""
+    ranges = spark.createDataFrame(addresses.default_ranges() + fx.OWN_RANGES, "cidr string, blocked boolean")
+    return admission.filter_blocked_ips(fx.addresses(spark, sf), ranges)
+
+
 @query("admission")
 def _(spark, sf):
     judged = admission.admission(fx.candidate_urls(spark, sf), fx.allowed_hosts(spark, sf),
@@ -465,6 +472,20 @@ def _(spark, sf):
     return dedupe.fulltext_lookup(sent, stored)
 
 
+@query("fulltext_lookup_stream")
+def _(spark, sf):
+    """Three batches of messages, two of them ahead of the articles that are stored later."""
+    stored = dedupe.first_wins(fx.articles(spark, sf), "content_fp", "id")
+    topic, store, out, mark = (fresh_dir(spark, name) for name in ("topic", "store", "texts", "checkpoint"))
+    sent = messages.article_messages(stored).select("value", F.pmod(F.xxhash64("key"), F.lit(3)).alias("part"))
+    for part, load in ((0, "id % 4 = 0"), (1, None), (2, "id % 4 <> 0")):
+        if load:
+            article_io.articles_sink(stored.filter(load), store, "id")
+        sent.filter(F.col("part") == part).select("value").coalesce(1).write.mode("append").text(topic)
+        consumers.stream_fulltext(message_io.message_source(spark, path=topic), store, out, mark).awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
 @query("pending_posts")
 def _(spark, sf):
     progress = comments.comment_progress(comments.page_cap(_page_docs(spark, sf), 2))
