@@ -1,5 +1,7 @@
+import codecs
 import glob
 import json
+import random
 
 import pytest
 
@@ -7,24 +9,53 @@ from webcorpus.operators import comments
 from webcorpus.plans import collect
 from webcorpus.sources import comments as io
 
-PAGE = {"data": [
-    {"id": 1, "user": {"screen_name": "阿山"}, "source": "来自平板", "text_raw": "说得对"},
-    {"id": 2, "user": {"screen_name": "阿水"}, "source": "来自网页版", "text_raw": "不同意"}],
-    "max_id": 99}
-
-
 def docs(spark, *pages):
     raw = spark.createDataFrame([(post, page, json.dumps(body)) for post, page, body in pages],
                                 "post string, page long, body string")
     return comments.parse_pages(raw)
 
 
-def test_parse(spark):
-    page = docs(spark, ("p", 1, PAGE))
-    rows = comments.flatten_comments(page).orderBy("pos").collect()
-    assert [(r.id, r.screen_name, r.region, r.text) for r in rows] == [
-        ("1", "阿山", "平板", "说得对"), ("2", "阿水", "网页版", "不同意")]
-    assert comments.next_page_token(page).first().next_max_id == 99
+def talk(seed):
+    """(post, page, body) of random pages: ids as numbers and as text, repeats, missing parts, empty pages."""
+    rng = random.Random(seed)
+    pages = []
+    for post in ("x9", "x10", "y"):
+        for page in range(1, rng.randrange(3, 7)):
+            body = {"max_id": rng.choice([page, page, 0, None])}
+            if rng.random() < 0.9:
+                body["data"] = [{
+                    "id": rng.choice([n, str(n)]), "source": rng.choice(["来自海边", "海边来自", "", None]),
+                    "user": rng.choice([{"screen_name": f"n{n}"}, {"screen_name": None}, {}, None]),
+                    "text_raw": rng.choice([f"words {n}", None, "a,\"b\"\n c", "来自"])}
+                    for n in (rng.randrange(500, 530) for _ in range(rng.randrange(5)))]
+            pages.append((post, page, body))
+    return pages
+
+
+def said(pages):
+    """(post, page, pos, id, screen_name, region, text) of every comment."""
+    return [(post, page, pos, str(c["id"]), (c["user"] or {}).get("screen_name") or "",
+             (c["source"] or "").replace("来自", ""), c["text_raw"] or "")
+            for post, page, body in pages for pos, c in enumerate(body.get("data") or [])]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_pages(spark, seed):
+    pages = talk(seed)
+    frame = docs(spark, *pages).repartition(3)
+    rows = comments.flatten_comments(frame)
+    fields = ["post", "page", "pos", "id", "screen_name", "region", "text"]
+    assert sorted(map(tuple, rows.select(fields).collect())) == sorted(said(pages))
+    assert {(r.post, r.page): r.next_max_id for r in comments.next_page_token(frame).collect()} == {
+        (post, page): body["max_id"] or 0 for post, page, body in pages}
+    known = {str(n) for n in range(500, 530, 4)}
+    first = {}
+    for post, page, pos, name, *_ in sorted(said(pages)):
+        if name not in known:
+            first.setdefault(name, (post, page, pos))
+    new = comments.comment_dedupe(rows, spark.createDataFrame([(k,) for k in known], "id string"))
+    assert {r.id: (r.post, r.page, r.pos) for r in new.collect()} == first
+    assert comments.seen_count(rows).first().seen == len({r[3] for r in said(pages)})
 
 
 def test_missing_and_null_values(spark):
@@ -36,19 +67,20 @@ def test_missing_and_null_values(spark):
     assert [r.next_max_id for r in comments.next_page_token(page).collect()] == [0, 0, 0]
 
 
-def test_csv_round_trip(spark, folder):
-    path = folder + "/csv"
+def test_csv_of_several_loads(spark, folder):
+    path, loads = folder + "/csv", [said(talk(seed)) for seed in (4, 5, 6)]
     assert io.seen_comment_ids(spark, path).count() == 0
-    rows = comments.flatten_comments(docs(spark, ("p", 1, PAGE)))
-    io.comments_csv_sink(rows, path)
-    io.comments_csv_sink(rows.limit(1), path)
-    assert sorted(r.id for r in io.seen_comment_ids(spark, path).collect()) == ["1", "2"]
-    assert io.comments_csv_source(spark, path).count() == 3
-    for part in glob.glob(path + "/*.csv"):
-        with open(part, encoding="utf-8-sig") as f:
-            lines = f.read().splitlines()
-        assert lines[0] == "评论id,昵称,地区,评论" and lines.count(lines[0]) == 1
-        assert open(part, "rb").read(3) == b"\xef\xbb\xbf"
+    for load in loads:
+        frame = spark.createDataFrame([r[3:] for r in load], "id string, screen_name string, region string, text string")
+        io.comments_csv_sink(frame.repartition(2), path)
+        for part in glob.glob(path + "/*.csv"):
+            raw = open(part, "rb").read()
+            text = raw.decode("utf-8-sig")
+            assert raw.startswith(codecs.BOM_UTF8) and text.startswith(header := "评论id,昵称,地区,评论\n")
+            assert text.count(header) == 1 and "\ufeff" not in text
+    assert sorted(tuple(r) for r in io.comments_csv_source(spark, path).collect()) == sorted(
+        r[3:] for load in loads for r in load)
+    assert {r.id for r in io.seen_comment_ids(spark, path).collect()} == {r[3] for load in loads for r in load}
 
 
 def test_csv_keeps_any_text(spark, folder):
@@ -61,12 +93,12 @@ def test_csv_keeps_any_text(spark, folder):
 
 
 def test_dedupe_compares_ids_as_text(spark):
-    none = {"data": [], "max_id": 0}
-    pages = docs(spark, ("p", 1, PAGE), ("p", 2, PAGE), ("p", 3, none), ("q", 1, PAGE), ("r", 1, none), ("r", 2, {}))
+    none, both = {"data": [], "max_id": 0}, {"data": [{"id": 41}, {"id": "07"}]}
+    pages = docs(spark, ("p", 1, both), ("p", 2, both), ("p", 3, none), ("q", 1, both), ("r", 1, none), ("r", 2, {}))
     rows = comments.flatten_comments(pages)
-    known = spark.createDataFrame([("2",)], "id string")
+    known = spark.createDataFrame([("7",), ("41",)], "id string")
     assert [(r.post, r.page, r.id) for r in comments.comment_dedupe(rows, known).collect()] == [
-        ("p", 1, "1")]
+        ("p", 1, "07")]
     log = comments.comment_page_log(pages, known).orderBy("post", "page").collect()
     assert [(r.post, r.page, r.n_rows, r.n_new, r.total) for r in log] == [
         ("p", 1, 2, 1, 1), ("p", 2, 2, 0, 1), ("p", 3, 0, 0, 1), ("q", 1, 2, 0, 0), ("r", 1, 0, 0, 0), ("r", 2, 0, 0, 0)]
