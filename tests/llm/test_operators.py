@@ -275,6 +275,45 @@ def test_factors_learn_what_linear_weights_miss():
     assert right > 0.97 > alone
 
 
+def test_machine_by_an_explicit_sum_over_pairs():
+    rng = np.random.default_rng(4)
+    x, w, v = (rng.random((30, 9)) < 0.5).astype(float), rng.normal(size=9), rng.normal(size=(9, 3))
+    want = [0.3 + sum(w[i] * r[i] for i in range(9)) + sum(
+        r[i] * r[j] * sum(v[i, f] * v[j, f] for f in range(3)) for i, j in combinations(range(9), 2)) for r in x]
+    assert np.allclose(toxicity.raw_scores(x, 0.3, w, v), want)
+
+
+def test_words_that_mean_something_only_together(spark):
+    """Each word alone says nothing: a text is toxic when exactly one of the two is in it."""
+    rng = random.Random(21)
+    rows, marks = [], []
+    for k in range(3000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        words = [f"w{rng.randrange(3000)}" for _ in range(20)] + ["insultword"] * a + ["groupword"] * b
+        rng.shuffle(words)
+        rows.append((k, " ".join(words)))
+        marks.append((k, int(a != b)))
+    got = toxicity.toxicity(spark.createDataFrame(rows, "doc_id long, text string").repartition(4),
+                            spark.createDataFrame(marks, "doc_id long, toxic int")).filter("held_out").collect()
+    truth = dict(marks)
+    assert len(got) > 400 and sum(r.predicted == truth[r.doc_id] for r in got) >= 0.97 * len(got)
+
+
+def test_filters_by_a_naive_convolution():
+    rng = np.random.default_rng(5)
+    shapes = [(256, classifier.EMBED), (classifier._INPUTS, classifier.FILTERS), (classifier.FILTERS,),
+              (classifier.FILTERS,), (1,)]
+    net = classifier.Network([rng.normal(size=s) for s in shapes])
+    data = rng.integers(0, 256, (3, classifier.CHUNK), dtype=np.uint8)
+    heard = rng.random((3, classifier.CHUNK)) < 0.2
+    top, _ = net.pooled(data, heard)
+    table, filters = net.params[0], net.params[1].reshape(classifier.WIDTH, classifier.EMBED + 1, classifier.FILTERS)
+    want = [[max(sum(float(np.dot([*table[data[c, at + k]], heard[c, at + k]], filters[k, :, f])) for k in range(classifier.WIDTH))
+                 for at in range(0, classifier.CHUNK - classifier.WIDTH + 1, classifier.STEP))
+             for f in (0, 3, classifier.FILTERS - 1)] for c in range(3)]
+    assert np.allclose(top[:, [0, 3, classifier.FILTERS - 1]], want, atol=1e-3)
+
+
 @pytest.mark.parametrize("name, label, least", [
     ("op9_toxicity", "toxic", 0.95), ("op10_quality_classifier", "quality", 0.97)])
 def test_held_out_accuracy(spark, name, label, least):

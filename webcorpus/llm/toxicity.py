@@ -93,7 +93,12 @@ def train(x: np.ndarray, y: np.ndarray, factors: int = FACTORS,
 
 
 def _choose(rows: DataFrame, terms: int) -> list[int]:
-    """Terms that differ most between the labels, by the two-proportion score; at most `terms`."""
+    """At most `terms` terms: those that differ most between the labels, by the two-proportion score,
+    then those that occur in nearest to half of the texts.
+
+    The latter say little by themselves, but may with another term; the rarer a pair is, the less there
+    is to learn of it.
+    """
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
@@ -111,7 +116,9 @@ def _choose(rows: DataFrame, terms: int) -> list[int]:
     share = F.col("df") / n
     score = (F.col("hits") / ones - (F.col("df") - F.col("hits")) / (n - ones)) / F.sqrt(
         share * (1 - share) * (1 / ones + 1 / (n - ones)))
-    best = counts.filter((F.col("df") < n) & (F.abs(score) >= LEAST_SCORE)).orderBy(F.abs(score).desc(), "term").limit(terms)
+    own = F.abs(score) >= LEAST_SCORE
+    best = counts.filter(F.col("df") < n).orderBy(
+        own.desc(), F.when(own, -F.abs(score)).otherwise(F.abs(share - 0.5)), "term").limit(terms)
     return [r.term for r in best.select("term").collect()]
 
 
@@ -155,7 +162,8 @@ def toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic", limi
 
     Learns from at most `limit` labelled documents outside the held-out fold, once per call. With no
     labels, or one label only, every text gets the same score. Null and empty texts get that of a
-    text without terms. Null ids are held out; repeated rows are scored alike.
+    text without terms; texts of any length count whole. Null ids are held out; repeated rows are
+    scored alike, and ties at the threshold are toxic. No rows give none. Other columns are not read.
     """
     model = documents.sparkSession.sparkContext.broadcast(learn(documents, labels, label, limit, terms))
 
