@@ -102,16 +102,25 @@ def _reason(*tests: tuple[str, Column]) -> Column:
     return F.coalesce(*[F.when(test, F.lit(name)) for name, test in tests])
 
 
+def host_table(allowed: DataFrame, lookups: DataFrame) -> DataFrame:
+    """(host, ip, allowed): the allowlist and the first addresses, a row per host. May be stored for a run."""
+    flags = first_addresses(lookups).withColumn("ok", F.lit(False)).unionByName(
+        allowed.select("host", F.lit(None).cast("string").alias("ip"), F.lit(True).alias("ok")))
+    return flags.groupBy("host").agg(F.max("ip").alias("ip"), F.bool_or("ok").alias("allowed"))
+
+
 def admission(df: DataFrame, allowed: DataFrame, lookups: DataFrame,
               url: str = "url") -> DataFrame:
     """Add `reject_reason`: scheme, host, unresolved or ip, whichever fails first; NULL passes.
 
     Allowlist and addresses meet in one small table first, so the URLs are joined only once.
     """
-    flags = first_addresses(lookups).withColumn("ok", F.lit(False)).unionByName(
-        allowed.select("host", F.lit(None).cast("string").alias("ip"), F.lit(True).alias("ok")))
-    per_host = flags.groupBy(F.col("host").alias("_host")).agg(
-        F.max("ip").alias("_ip"), F.bool_or("ok").alias("_allowed"))
+    return admission_by(df, host_table(allowed, lookups), url)
+
+
+def admission_by(df: DataFrame, hosts: DataFrame, url: str = "url") -> DataFrame:
+    """The same with a host_table()."""
+    per_host = hosts.select(F.col("host").alias("_host"), F.col("ip").alias("_ip"), F.col("allowed").alias("_allowed"))
     parts = once(df, _scheme=urls.scheme_of(F.col(url)), _host=urls.host_of(F.col(url)))
     joined = lookup(parts, per_host, "_host")
     literal = addresses.is_ipv4(F.col("_host")) | F.col("_host").contains(":")

@@ -13,7 +13,7 @@ from webcorpus.operators import (
     admission, analytics, comments, dedupe, extract, frontier, jobs, links, messages, numbering,
     quality)
 from webcorpus.plans import collect, fixtures as fx
-from webcorpus.session import fresh_dir
+from webcorpus.session import fresh_dir, written
 from webcorpus.sources import articles as article_io
 from webcorpus.sources import comments as comment_io
 from webcorpus.sources import links as link_io
@@ -92,18 +92,17 @@ def _allowed_page_hosts(spark: SparkSession, sf: str) -> DataFrame:
     return _page_hosts(spark, sf).filter("page_id % 3 = 0").select("host").distinct()
 
 
-def _admit(df: DataFrame, sf: str) -> DataFrame:
-    """Scheme, host and address, as for any URL that is to be collected."""
-    spark = df.sparkSession
-    allowed = spark.createDataFrame([("news.example.com",)], "host string")
-    judged = admission.admission(df, allowed, fx.site_lookups(spark, sf))
-    return judged.filter("reject_reason IS NULL").drop("reject_reason")
-
-
 def _frontier(spark: SparkSession, sf: str, **options) -> DataFrame:
+    """From every fiftieth page, with scheme, host and address as for any URL that is to be collected."""
     seeds = fx.link_pages(spark, sf).filter("page_id % 50 = 0").select("url")
     table = link_io.store_links(fx.link_pages(spark, sf), fresh_dir(spark, "links"))
-    return frontier.crawl_frontier(seeds, table, lambda df: _admit(df, sf), **options)
+    allowed = spark.createDataFrame([("news.example.com",)], "host string")
+    hosts = written(admission.host_table(allowed, fx.site_lookups(spark, sf)), "hosts")
+
+    def admit(df: DataFrame) -> DataFrame:
+        return admission.admission_by(df, hosts).filter("reject_reason IS NULL").drop("reject_reason")
+
+    return frontier.crawl_frontier(seeds, table, admit, **options)
 
 
 def _as_store(df: DataFrame) -> DataFrame:
