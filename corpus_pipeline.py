@@ -20,13 +20,15 @@ def good_quality(spark: SparkSession, documents: DataFrame, sf_dir: str) -> Data
 
 def without_repeated_lines(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
     """Passages found before go; a document of which nothing but white space is left goes too."""
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    others = [c for c in documents.columns if c not in ("doc_id", "text")]
+    row = F.struct(*[F.col(f"`{c}`") for c in others]).alias("row")
     changed = line_dedup.line_dedup(documents.select("doc_id", "text", row), short=True)
     emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    n_chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("row.n_chars")) \
-        .cast(documents.schema["n_chars"].dataType)
-    new = {"text": F.col("text"), "n_chars": n_chars}
-    return changed.filter(~emptied).select(*[new.get(c, F.col("row")[c]).alias(c) for c in documents.columns])
+    new = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.when(
+        F.col("n_removed") > 0, F.length("text")).otherwise(F.col("row.n_chars"))
+        .cast(documents.schema["n_chars"].dataType)}
+    return changed.filter(~emptied).select(*[
+        (new[c] if c in new else F.col("row")[c]).alias(c) for c in documents.columns])
 
 
 def without_near_copies(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
