@@ -107,6 +107,10 @@ def test_bpe_of_odd_rows_and_none(spark, ranks):
     assert byte_bpe.encode(table(spark, []), path, public_tokenizers.PATTERN).count() == 0
     null = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert {bytes(r.decoded) for r in byte_bpe.decode(null, path).collect()} == {b""}
+    for wrong in (50256, -1, None):
+        frame = spark.createDataFrame([(1, [5, wrong])], "doc_id long, ids array<int>")
+        with pytest.raises(Exception, match="not in the vocabulary"):
+            byte_bpe.decode(frame, path).collect()
 
 
 def brute_cut(text, key):

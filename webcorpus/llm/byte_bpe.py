@@ -19,8 +19,9 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from webcorpus.llm.common import map_batches, pieces
+from webcorpus.llm.common import map_batches
 
 # Bytes of new words that one replay takes (a longer word alone is one replay).
 BLOCK = 1 << 21
@@ -265,14 +266,15 @@ class Encoder:
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Rows and their texts, up to TEXTS characters together."""
     for batch in batches:
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        start, held = 0, 0
-        for k, text in enumerate(texts):
+        start, texts, held = 0, [], 0
+        for k, value in enumerate(batch.column("text")):
+            text = value.as_py() or ""
             if held and held + len(text) > TEXTS:
-                yield batch.slice(start, k - start), texts[start:k]
-                start, held = k, 0
+                yield batch.slice(start, k - start), texts
+                start, texts, held = k, [], 0
+            texts.append(text)
             held += len(text)
-        yield batch.slice(start), texts[start:]
+        yield batch.slice(start), texts
 
 
 @cache
@@ -281,11 +283,6 @@ def _encoder(path: str, pattern: str) -> Encoder:
     return Encoder(read_ranks(path), pattern)
 
 
-@cache
-def _tokens(path: str) -> dict[int, bytes]:
-    return {rank: token for token, rank in read_ranks(path).items()}
-
-
 def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, ids array<int>) for every row, repeated rows included.
 
@@ -313,17 +310,13 @@ def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, decoded binary): the bytes of the ids, which need not be whole characters.
 
-    Null ids have no bytes; an id that is null or not in the vocabulary is an error.
+    Null ids have no bytes; an id that is null or not in the vocabulary is an error. Native: the
+    vocabulary, of fixed size, is an array of hexadecimal texts that is split once.
     """
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _tokens(path)
-        for batch in pieces(batches):
-            ids = batch.column("ids")
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "ids": ids,
-                "decoded": pa.array([b"".join(map(tokens.__getitem__, i.values.tolist() if i.is_valid else ()))
-                                     for i in ids], pa.binary())})
-
-    kind = encoded.schema["doc_id"].dataType.simpleString()
-    return map_batches(encoded.select("doc_id", "ids"), task,
-                       f"doc_id {kind}, ids array<int>, decoded binary")
+    tokens = {rank: token.hex() for token, rank in read_ranks(path).items()}
+    unknown = "-"
+    listed = F.split(F.lit(" ".join(tokens.get(k, unknown) for k in range(max(tokens) + 1))), " ")
+    hexed = F.transform(F.coalesce("ids", F.array().cast("array<int>")), lambda i: F.get(listed, i))
+    wrong = F.raise_error(F.lit("an id that is not in the vocabulary"))
+    whole = F.unhex(F.array_join(hexed, "", unknown))  # null for any text that is not hexadecimal
+    return encoded.select("doc_id", "ids", F.coalesce(whole, wrong).alias("decoded"))
