@@ -63,11 +63,13 @@ def test_a_small_batch_reads_its_own_buckets_and_moves_no_rows(spark, folder):
     add(made, rows_of(spark, *[f"k{n}" for n in range(2000)]))
     found = made.among(rows_of(spark, "k1", "k2", "nothing"))
     assert sorted(r.k for r in found.collect()) == ["k1", "k2"]
-    assert len(found.inputFiles()) <= 3 < len(made.rows().inputFiles())
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "bucket" in re.search(r"PartitionFilters: \[.*?\]", plan)[0]
-    scan = plan[plan.index("FileScan"):]
-    assert "BroadcastHashJoin" in plan and "hashpartitioning(k" not in plan and "at#" not in scan[:scan.index("Batched")]
+    plan = found.select("k")._jdf.queryExecution().executedPlan().toString()
+    asked = {pmod for pmod in (r[0] for r in rows_of(spark, "k1", "k2", "nothing").select(
+        made.bucket(F.col("k"), made.state())).collect())}
+    listed = re.search(r"PartitionFilters: \[[^]]*bucket#\d+ (?:IN \(|= )([\d,]+)", plan)[1]
+    assert {int(b) for b in listed.split(",")} == asked
+    assert "ReadSchema: struct<k:string>" in plan and "hashpartitioning(k" not in plan
+    assert "BroadcastHashJoin" in plan
 
 
 def test_what_a_failed_compaction_left_does_not_count(spark, folder):
