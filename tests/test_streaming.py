@@ -1,11 +1,13 @@
 import glob
+import os
+import shutil
 
 from pyspark.sql import functions as F
 
 from webcorpus import settings
 from webcorpus.operators import analytics, dedupe
 from webcorpus.operators.messages import article_messages
-from webcorpus.plans import collect, fixtures as fx
+from webcorpus.plans import collect, fixtures as fx, queries as plans
 from webcorpus.sources import articles as article_io
 from webcorpus.sources import messages as message_io
 from webcorpus.streaming import ingest, messages as consumers, stats
@@ -115,3 +117,22 @@ def test_stats_equal_the_batch_reports(spark, folder):
 
 def test_default_refresh_interval():
     assert settings.STATS_INTERVAL == "15 seconds"
+
+
+def test_streams_read_tables_in_one_file_or_in_a_folder_of_files(spark, folder):
+    sizes = {"documents": 7, "pages": 5}
+    for name, n in sizes.items():
+        fx.table(spark, SF, name).limit(n).repartition(3).write.parquet(f"{folder}/many/{name}.parquet")
+        os.makedirs(f"{folder}/one", exist_ok=True)
+        fx.table(spark, f"{folder}/many", name).coalesce(1).write.parquet(f"{folder}/single/{name}")
+        shutil.copy(glob.glob(f"{folder}/single/{name}/part-*.parquet")[0], f"{folder}/one/{name}.parquet")
+    asked = plans.all_queries()
+    for at in ("many", "one"):
+        got = {(r.view, r.name): r.value for r in asked["stream_stats"](spark, f"{folder}/{at}").collect()}
+        assert got["totals", "total"] == 7
+        assert asked["stream_consume"](spark, f"{folder}/{at}").count() == 7
+        pages = article_io.pages_stream(spark, f"{folder}/{at}", glob="pages.parquet")
+        shown, mark = f"{folder}/shown_{at}", f"{folder}/mark_{at}"
+        pages.writeStream.format("parquet").option("checkpointLocation", mark) \
+            .trigger(availableNow=True).start(shown).awaitTermination()
+        assert spark.read.parquet(shown).count() == 5
