@@ -2,12 +2,14 @@ import glob
 import os
 import shutil
 
+import compare
 from pyspark.sql import functions as F
 
 from webcorpus import settings
 from webcorpus.operators import analytics, dedupe
 from webcorpus.operators.messages import article_messages
-from webcorpus.plans import collect, fixtures as fx, queries as plans
+from webcorpus.plans import collect, fixtures as fx, oracle, queries as plans
+from webcorpus.session import written
 from webcorpus.sources import articles as article_io
 from webcorpus.sources import messages as message_io
 from webcorpus.streaming import ingest, messages as consumers, stats
@@ -136,3 +138,19 @@ def test_streams_read_tables_in_one_file_or_in_a_folder_of_files(spark, folder):
         pages.writeStream.format("parquet").option("checkpointLocation", mark) \
             .trigger(availableNow=True).start(shown).awaitTermination()
         assert spark.read.parquet(shown).count() == 5
+
+
+def test_batches_of_the_queries_are_written_by_many_tasks(spark, folder, monkeypatch):
+    for name in ("documents", "pages"):
+        fx.table(spark, SF, name).repartition(3).write.parquet(f"{folder}/{name}.parquet")
+    made = {}
+    monkeypatch.setattr(plans, "fresh_dir", lambda _, name: made.setdefault(name, f"{folder}/{name}"))
+    asked, db = plans.all_queries(), compare.connect(SF)
+    monkeypatch.setattr(plans, "written", lambda df, name: written(df.repartition(3), name))  # as of larger tables
+    for name, source, batches in (("stream_dedupe", "articles", 4), ("stream_ingest_runs", "pages", 4)):
+        made.clear()
+        made.update({x: f"{folder}/{name}/{x}" for x in (source, "checkpoint")})
+        got = asked[name](spark, folder)
+        assert compare.differences(got, db, oracle.all_sql()[name]) == ""
+        assert len(glob.glob(f"{made[source]}/part-*")) > batches  # one file each came from one task
+        assert len(glob.glob(f"{made['checkpoint']}/commits/[0-9]*")) == batches
