@@ -12,6 +12,7 @@ from webcorpus.plans import collect, fixtures as fx, oracle, queries as plans
 from webcorpus.session import written
 from webcorpus.sources import articles as article_io
 from webcorpus.sources import messages as message_io
+from webcorpus.sources import store as store_module
 from webcorpus.streaming import ingest, messages as consumers, stats
 
 SF = "/root/testdata/sf0.001"
@@ -147,10 +148,28 @@ def test_batches_of_the_queries_are_written_by_many_tasks(spark, folder, monkeyp
     monkeypatch.setattr(plans, "fresh_dir", lambda _, name: made.setdefault(name, f"{folder}/{name}"))
     asked, db = plans.all_queries(), compare.connect(SF)
     monkeypatch.setattr(plans, "written", lambda df, name: written(df.repartition(3), name))  # as of larger tables
-    for name, source, batches in (("stream_dedupe", "articles", 4), ("stream_ingest_runs", "pages", 4)):
+    for name, source, batches in (("stream_dedupe", "articles", 4), ("stream_ingest_runs", "pages", 4),
+                                  ("fulltext_lookup_stream", "topic", 3)):
         made.clear()
         made.update({x: f"{folder}/{name}/{x}" for x in (source, "checkpoint")})
         got = asked[name](spark, folder)
         assert compare.differences(got, db, oracle.all_sql()[name]) == ""
         assert len(glob.glob(f"{made[source]}/part-*")) > batches  # one file each came from one task
         assert len(glob.glob(f"{made['checkpoint']}/commits/[0-9]*")) == batches
+
+
+def test_many_messages_meet_bodies_that_were_not_moved_before(spark, folder, monkeypatch):
+    store, topic, out, mark = (folder + f"/{name}" for name in ("store", "topic", "texts", "mark"))
+    unique = dedupe.first_wins(fx.articles(spark, SF), "content_fp", "id")
+    article_io.articles_sink(unique, store, "id")
+    article_messages(unique.filter("id % 3 = 0")).select("value").write.text(topic)
+    monkeypatch.setattr(store_module, "SENT", 10)
+    monkeypatch.setattr(consumers, "fulltext_lookup", lambda asked, stored: plan_of.append(
+        stored._jdf.queryExecution().executedPlan().toString()) or dedupe.fulltext_lookup(asked, stored))
+    plan_of = []
+    consumers.stream_fulltext(message_io.message_source(spark, path=topic), store, out, mark).awaitTermination()
+    assert len(plan_of) == 1 and "Exchange" not in plan_of[0]
+    got = spark.read.parquet(out).drop("batch")
+    want = unique.filter("id % 3 = 0").select(got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert not spark.read.parquet(out + ".waiting").count()

@@ -36,7 +36,7 @@ def stream_fulltext(messages: DataFrame, store: str, path: str, checkpoint: str,
         if exists(spark, waiting.format(number - 1)):
             known = known.unionByName(spark.read.schema(batch.schema).parquet(waiting.format(number - 1)))
         asked = written(known, "messages")
-        stored = article_table(spark, store).among(asked.select("content_fp").distinct())
+        stored = article_table(spark, store).beside(asked.select("content_fp").distinct())
         late = asked
         if stored is not None:
             late = asked.join(stored.select("content_fp"), "content_fp", "left_anti").select(asked.columns)
