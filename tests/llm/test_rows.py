@@ -150,6 +150,45 @@ def test_matching_weighs_as_much_as_by_definition():
         assert len(set(pairs.values())) == len(pairs)
 
 
+def test_matching_by_levels_finds_the_same_pairs(monkeypatch):
+    rng = random.Random(8)
+    for k in range(120):
+        trees = 3 if k % 5 else 30
+        a, b = (dom.Tree(dom.parse("".join(random_tree(rng) for _ in range(trees)))) for _ in range(2))
+        want = dom.match(a, b)
+        with monkeypatch.context() as few:  # all by levels; tables in parts, weights kept or not
+            few.setattr(dom, "CELLS", (0, 4)[k % 2])
+            few.setattr(dom, "ALL_CELLS", -1)
+            few.setattr(dom, "KEPT", (0, 30, 1 << 22)[k % 3])
+            few.setattr(dom, "PARTS", (2, 3, 16)[k % 3])
+            assert dom.match(a, b) == want
+        assert trees > 3 or sum(1.0 + (a.names[i] == b.names[j]) + (a.texts[i] == b.texts[j])
+                   for i, j in want.items()) == naive_weight(a, b)
+
+
+def test_long_runs_of_siblings_match_with_most_weight():
+    rng = random.Random(9)
+    left, right = ([rng.randrange(9) for _ in range(1100)] for _ in range(2))  # no subtree is there once
+    a, b = (dom.Tree(dom.parse("<ul>" + "".join(f"<li><b>{v}</b></li>" for v in run))) for run in (left, right))
+    pairs = dom.match(a, b)
+    weight = sum(1 + (a.names[i] == b.names[j]) + (a.texts[i] == b.texts[j]) for i, j in pairs.items())
+    best = [0] * (len(right) + 1)
+    for x in left:
+        row = [0]
+        for n, y in enumerate(right):
+            row.append(max(row[n], best[n + 1], best[n] + 5 + (x == y)))  # li 3, b 2, and its text
+        best = row
+    assert weight == best[-1] + 6  # the root and the list
+
+
+def test_deep_and_long_pages_match_by_levels():
+    rng = random.Random(10)
+    pages = ["<div>" * 2500 + "".join(f"<li>{rng.randrange(9)}" for _ in range(1200)) for _ in range(2)]
+    a, b = (dom.Tree(dom.parse(page)) for page in pages)
+    pairs = dom.match(a, b)
+    assert len(pairs) > 2501 + 1100 and all(a.nodes[i].tag == b.nodes[j].tag for i, j in pairs.items())
+
+
 def test_a_host_reads_the_same_whatever_other_hosts_there_are(spark):
     page = "<html><body><div>Head of {0}</div><article><h1>T {1}</h1><p>Body {1}</p><p>Part {2}</p></article></body></html>"
     rows = [(f"p{h}/{k}", f"http://h{h}/{k}", page.format(h, k, k % 7)) for h, n in ((0, 400), (1, 150), (2, 9), (3, 1))
