@@ -12,9 +12,10 @@ import xxhash
 
 import compare
 import corpus_pipeline
-from webcorpus.llm import (classifier, decontaminate, fertility, line_dedup, mixing, perspectives,
+from webcorpus.llm import (classifier, components, decontaminate, fertility, line_dedup, mixing, perspectives,
                            queries, simhash, token_counts, toxicity, wrappers)
 from webcorpus.llm.queries import tokenizer
+from webcorpus.session import written
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, f string, n_words long"
@@ -255,6 +256,31 @@ def test_dense_balls_of_fingerprints(spark):
         assert {tuple(r) for r in simhash.links(frame, crowded).collect()} == want
 
 
+def exploded_and_broadcast(df):
+    """Lines of the plan of `df` that explode rows below a broadcast."""
+    found, inside = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        inside = None if inside is not None and depth <= inside else inside
+        if inside is None and "BroadcastExchange" in line:
+            inside = depth
+        elif inside is not None and "Generate" in line:
+            found.append(line)
+    return found
+
+
+def test_near_copies_are_found_without_broadcasting_exploded_rows(spark, monkeypatch):
+    """Catalyst takes an exploded table for as small as it was before, and so would broadcast it."""
+    made = []
+    for module in (simhash, components):
+        monkeypatch.setattr(module, "written", lambda df, name: made.append(df) or written(df, name))
+    rows = [(k, f"{k % 7} two three four five six seven {k % 3} nine", "en", "a", 0, "", 0) for k in range(60)]
+    kept = corpus_pipeline.without_near_copies(spark, table(spark, rows), "")
+    assert kept.count() == 21
+    assert any("Generate explode" in d._jdf.queryExecution().executedPlan().toString() for d in made)
+    assert [exploded_and_broadcast(d) for d in made if exploded_and_broadcast(d)] == []
+
+
 def test_keep_one_leaves_other_texts_of_an_id(spark):
     text, copy = "one two three four five", "ONE two three four five"
     rows = [(1, text), (None, copy), (None, "a text found nowhere else"), (2, text), (2, "quite different words here"),

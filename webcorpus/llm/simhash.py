@@ -87,6 +87,9 @@ def links(fps: DataFrame, crowded: int = CROWDED) -> DataFrame:
     most. The rest, pairs with an end in a crowded value, are found exactly and without comparing
     the members with each other: that end enumerates its whole ball (2,081 fingerprints), and
     each is looked up as it is.
+
+    Catalyst does not know how many rows an explode makes, so it would broadcast the probes of the
+    first table. They are merged.
     """
     first, second = F.shiftrightunsigned("fp", 32), F.col("fp").bitwiseAND(0xFFFFFFFF)
     segments = fps.select("fp", first.alias("s0"), second.alias("s1"))
@@ -107,7 +110,7 @@ def links(fps: DataFrame, crowded: int = CROWDED) -> DataFrame:
     ball = F.array(*[F.lit(m).cast("long") for m in _balls(32, 1)])
     probe0 = light.select(F.col("fp").alias("a"), "s0", F.explode(ball).alias("mask")) \
         .select("a", F.col("s0").bitwiseXOR(F.col("mask")).alias("key"))
-    found0 = probe0.join(table0, "key").filter(near).select("a", "b")
+    found0 = probe0.join(table0.hint("merge"), "key").filter(near).select("a", "b")
 
     table1 = light.select(F.col("fp").alias("b"), F.col("s1").alias("key"))
     probe1 = light.select(F.col("fp").alias("a"), F.col("s1").alias("key"))
