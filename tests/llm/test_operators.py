@@ -9,6 +9,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import compare
 import corpus_pipeline
@@ -281,6 +282,16 @@ def test_near_copies_are_found_without_broadcasting_exploded_rows(spark, monkeyp
     assert [exploded_and_broadcast(d) for d in made if exploded_and_broadcast(d)] == []
 
 
+def test_enumerated_balls_are_never_broadcast(spark):
+    """2,080 rows of each crowded fingerprint, where the table they are looked up in looks no smaller."""
+    fps = written(spark.range(300).select(F.xxhash64("id").alias("fp")), "fps")
+    for crowded in (0, 512):
+        found = simhash.links(fps, crowded)
+        assert exploded_and_broadcast(found) == []
+        probes = [x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "LeftSemi" in x]
+        assert len(probes) == 1  # so the side asked for can't be broadcast, whatever the sizes
+
+
 def test_keep_one_leaves_other_texts_of_an_id(spark):
     text, copy = "one two three four five", "ONE two three four five"
     rows = [(1, text), (None, copy), (None, "a text found nowhere else"), (2, text), (2, "quite different words here"),

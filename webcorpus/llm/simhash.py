@@ -88,8 +88,8 @@ def links(fps: DataFrame, crowded: int = CROWDED) -> DataFrame:
     the members with each other: that end enumerates its whole ball (2,081 fingerprints), and
     each is looked up as it is.
 
-    Catalyst does not know how many rows an explode makes, so it would broadcast the probes of the
-    first table. They are merged.
+    Catalyst does not know how many rows an explode makes, so it would broadcast the probes. They are
+    merged, or stand on the left of a semi join, of which only the right side may be broadcast.
     """
     first, second = F.shiftrightunsigned("fp", 32), F.col("fp").bitwiseAND(0xFFFFFFFF)
     segments = fps.select("fp", first.alias("s0"), second.alias("s1"))
@@ -119,7 +119,7 @@ def links(fps: DataFrame, crowded: int = CROWDED) -> DataFrame:
     whole = F.array(*[F.lit(_signed(m)).cast("long") for m in _balls(64, DISTANCE)[1:]])
     asked = marked.filter("heavy").select(F.col("fp").alias("x"), F.explode(whole).alias("mask")) \
         .select("x", F.col("x").bitwiseXOR(F.col("mask")).alias("fp"))
-    found = asked.join(marked.select("fp"), "fp").select(
+    found = asked.join(marked.select("fp"), "fp", "left_semi").select(
         F.least("x", "fp").alias("a"), F.greatest("x", "fp").alias("b"))
     return found0.union(found1).union(found).distinct()
 
