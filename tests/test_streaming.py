@@ -118,6 +118,18 @@ def test_stats_equal_the_batch_reports(spark, folder):
     assert tuple(stats.totals(spark, out, "2031-05-06").first()) == (before + 1, 1)
 
 
+def test_reports_of_ids_whose_minutes_pass_an_int(spark, folder):
+    asked, sql = plans.all_queries(), oracle.all_sql()
+    for low in (3_469_200, 20_000_000):
+        sf = f"{folder}/{low}"
+        fx.table(spark, SF, "documents").withColumn("doc_id", F.col("doc_id") + low) \
+            .coalesce(1).write.parquet(f"{sf}/made")
+        shutil.copy(glob.glob(f"{sf}/made/part-*.parquet")[0], f"{sf}/documents.parquet")
+        db = compare.connect(sf)
+        for name in ("stream_stats", "article_totals", "daily_trend", "kpi_cards"):
+            assert compare.differences(asked[name](spark, sf), db, sql[name]) == ""
+
+
 def test_default_refresh_interval():
     assert settings.STATS_INTERVAL == "15 seconds"
 
